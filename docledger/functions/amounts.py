@@ -52,7 +52,8 @@ def bucket_key(amount: Column) -> Column:
 
 
 def bucket_label(key: Column, labels: Sequence[str] = BUCKET_LABELS) -> Column:
-    return F.element_at(F.array(*[F.lit(label) for label in labels]), key + 1)
+    named_keys = [F.when(key == i, label) for i, label in enumerate(labels)]
+    return F.coalesce(*named_keys)
 
 
 def debit_credit(flag: Column, amount: Column, side: str, factor: float = 1.0, other: float | None = None) -> Column:

@@ -60,6 +60,6 @@ class Project:
 
 def sale_project() -> Project:
     project = Project()
-    project.add("sale", "clear_sr", ["raw.sales"], sales_register)
+    project.add("sale", "sales_register", ["raw.sales"], sales_register)
     project.add("sale", "export_type", ["raw.sales"], export_type)
     return project

@@ -12,6 +12,12 @@ CHECKPOINT_KEY = "spark.checkpoint.dir"
 def build_session(app_name: str = "docledger", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution and skew-join splitting on.
 
+    Registers are wide: their fused stages can outgrow the 8000 bytes of bytecode
+    the JVM still compiles, and then run interpreted. The method limit makes
+    such a stage fall back to per-operator code, which stays compiled. Joins may
+    hash instead of sort once every partition of the smaller side has been
+    measured below the local-map threshold, and a side already partitioned on
+    part of the join key (ordinals within a document) is not shuffled again.
     Shuffle width is left to the cluster's own settings; pass it in ``conf``
     (``**{"spark.sql.shuffle.partitions": "8"}``) for a laptop run.
     """
@@ -19,6 +25,9 @@ def build_session(app_name: str = "docledger", master: str | None = None, **conf
         SparkSession.builder.appName(app_name)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
+        .config("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:

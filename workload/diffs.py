@@ -236,13 +236,13 @@ _WANTED = "select lpad(cast(o_orderkey as string), 10, '0') from {orders} where
     "trace_rows",
     f"""
     select 's_sale.billing' as "table", 0 as visit, 0 as depth,
-        json_object('VBELN', belnr, 'AWKEY', awkey, 'blart', blart) as "row" from {{bkpf}}
+        cast(json_object('VBELN', belnr, 'AWKEY', awkey, 'blart', blart) as varchar) as "row" from {{bkpf}}
     where belnr in ({_WANTED}) or awkey in ({_WANTED})
     union all
-    select 's_sale.ledger', 1, 1, json_object('BELNR', belnr, 'hkont', hkont, 'sgtxt', sgtxt) from {{bseg}}
+    select 's_sale.ledger', 1, 1, cast(json_object('BELNR', belnr, 'hkont', hkont, 'sgtxt', sgtxt) as varchar) from {{bseg}}
     where belnr in ({_WANTED})
     union all
-    select 'raw.accounts', 2, 2, json_object('saknr', saknr, 'txt50', txt50) from {{skat}}
+    select 'raw.accounts', 2, 2, cast(json_object('saknr', saknr, 'txt50', txt50) as varchar) from {{skat}}
     """,
 )
 def _trace_rows(t):

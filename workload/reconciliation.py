@@ -207,7 +207,7 @@ def _voucher_rollup(t):
     generated, customer = (
         voucher_sums(t(view), _VOUCHERS, ["cgst", "sgst", "igst"], dates=["doc_date"]) for view in ("gen", "cus")
     )
-    keys = common_keys(generated, customer, "Voucher Number")
+    keys = rename_columns(common_keys(t("gen"), t("cus"), "doc_no"), _VOUCHERS)
     both = generated.withColumn("side", F.lit("generated")).unionByName(
         customer.withColumn("side", F.lit("customer"))
     )

@@ -85,10 +85,13 @@ def _cell_text(cell: ElementTree.Element, texts: list[str], dates: set[int]) ->
 
 
 def sheet_rows(content: bytes, limit: int | None = None) -> Iterator[tuple[int, list[str | None]]]:
-    """(row number, cells) of the first sheet, streamed from the XML."""
+    """(row number, cells) of the first sheet, streamed from the XML.
+
+    Blank rows count only between filled ones.
+    """
     book = zipfile.ZipFile(io.BytesIO(content))
     texts, dates = _texts(book), _date_styles(book)
-    produced = 0
+    produced, started, blank = 0, False, []
     with book.open(_first_sheet(book)) as part:
         for _, element in ElementTree.iterparse(part):
             if _local(element.tag) != "row":
@@ -99,8 +102,16 @@ def sheet_rows(content: bytes, limit: int | None = None) -> Iterator[tuple[int,
                 cells.extend([None] * (at + 1 - len(cells)))
                 cells[at] = _cell_text(cell, texts, dates)
             produced += 1
-            yield int(element.get("r", produced)), cells
+            row = int(element.get("r", produced)), cells
             element.clear()
+            if all(c is None for c in cells):
+                if started:
+                    blank.append(row)
+                continue
+            started = True
+            yield from blank
+            yield row
+            blank.clear()
             if limit is not None and produced >= limit:
                 return
 

@@ -20,6 +20,7 @@ from docledger.functions import (
     suffix_match,
     value_text,
 )
+from docledger.operators.joins import look_up, members
 from docledger.operators.ordering import HOT_ROWS, with_ordinal
 from docledger.operators.rollup import first_per_key
 
@@ -49,8 +50,7 @@ def pick(df: DataFrame, keys: DataFrame | None, columns: Sequence[str] = DOC_KEY
     """Rows of the wanted documents; all rows when no keys are given."""
     if keys is None:
         return df
-    wanted = keys.select(*columns)
-    return df.join(wanted, list(columns), "left_semi")
+    return members(df, keys, columns)
 
 
 # --- search -----------------------------------------------------------------
@@ -76,7 +76,7 @@ def search_many(headers: DataFrame, numbers: DataFrame, types: Sequence[str] | N
     Each id is cut to the lengths that occur among the numbers, which turns the
     suffix test into an equi-join. Rows are (number, document), each pair once.
     """
-    wanted = numbers.select("number").where(F.length("number") > 0).distinct()
+    wanted = numbers.select("number").where(F.length("number") > 0)
     # At most one entry per possible identifier length.
     lengths = wanted.agg(F.sort_array(F.collect_set(F.length("number")))).first()[0]
     typed = headers if types is None else headers.where(F.col("blart").isin(*types))
@@ -87,7 +87,7 @@ def search_many(headers: DataFrame, numbers: DataFrame, types: Sequence[str] | N
         F.when(F.length(c) >= n, F.right(F.col(c), F.lit(n))) for c in SEARCH_IDS for n in lengths
     ]
     ends = F.array_distinct(F.array_compact(F.array(*cuts)))
-    return typed.select(F.explode(ends).alias("number"), *SEARCH_COLUMNS).join(wanted, "number", "left_semi")
+    return members(typed.select(F.explode(ends).alias("number"), *SEARCH_COLUMNS), wanted, ["number"])
 
 
 def search_outcome(numbers: DataFrame, matches: DataFrame) -> DataFrame:
@@ -236,9 +236,7 @@ def condition_texts(texts: DataFrame, language: str | None = None) -> DataFrame:
 
 def pricing_lines(pricing: DataFrame, texts: DataFrame, billing: DataFrame | None = None) -> DataFrame:
     rows = pick(pricing, billing, ["knumv"])
-    return rows.join(condition_texts(texts).select("kschl", "vtext"), "kschl").select(
-        *[named(c) for c in pricing.columns], "vtext"
-    )
+    return look_up(rows, condition_texts(texts), [("kschl", "kschl")], {"vtext": "vtext"}, "inner")
 
 
 def pricing_summary(pricing: DataFrame, texts: DataFrame, billing: DataFrame | None = None) -> DataFrame:
@@ -248,9 +246,8 @@ def pricing_summary(pricing: DataFrame, texts: DataFrame, billing: DataFrame | N
         .groupBy("knumv", "kinak", "kschl")
         .agg(F.sum("kwert").alias("kwert_sum"))
     )
-    return sums.join(condition_texts(texts).select("kschl", "vtext"), "kschl").select(
-        "knumv", "kinak", "kschl", "vtext", "kwert_sum"
-    )
+    texted = look_up(sums, condition_texts(texts), [("kschl", "kschl")], {"vtext": "vtext"}, "inner")
+    return texted.select("knumv", "kinak", "kschl", "vtext", "kwert_sum")
 
 
 # --- parties ----------------------------------------------------------------

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docledger.functions import named, value_text
-from docledger.operators.ordering import HOT_ROWS, null_safe_on, with_ordinal, with_position
+from docledger.operators.joins import null_safe_on
+from docledger.operators.ordering import HOT_ROWS, with_ordinal, with_position
 
 POSITION = "position"
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import named
+from docledger.operators.joins import members
 
 BROADCAST_KEYS = 100_000
 
@@ -48,13 +49,8 @@ def restrict_to_first_keys(df: DataFrame, keys: DataFrame, key: str, limit: int)
     """
     first = keys.select(named(key)).distinct().orderBy(named(key)).limit(limit)
     if limit <= BROADCAST_KEYS:
-        first = F.broadcast(first)
-    return df.join(first, key, "left_semi")
-
-
-def restrict_to_keys(df: DataFrame, keys: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Membership filter on one or more key columns, never through the driver."""
-    return df.join(keys.select(*[named(c) for c in columns]), list(columns), "left_semi")
+        return df.join(F.broadcast(first), key, "left_semi")
+    return members(df, first, [key])
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

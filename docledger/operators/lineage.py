@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import named
+from docledger.operators.joins import look_up
 from docledger.session import checkpoint
 
 # Columns that can hold the traced document number.
@@ -66,11 +67,10 @@ def matching_rows(df: DataFrame, numbers: DataFrame | str | None, keys: Sequence
         return df
     if isinstance(numbers, str):
         return df.where(reduce(or_, [named(c) == numbers for c in present]))
-    wanted = numbers.select(F.col("number").cast("string").alias("__n")).where("__n is not null").distinct()
+    wanted = numbers.select(F.col("number").cast("string").alias("number")).distinct()
     flagged = df
     for i, c in enumerate(present):
-        hit = wanted.select(F.col("__n").alias(f"__n_{i}"))
-        flagged = flagged.join(hit, flagged[f"`{c}`"] == hit[f"__n_{i}"], "left")
+        flagged = look_up(flagged, wanted.withColumn("hit", F.lit(True)), [(c, "number")], {"hit": f"__n_{i}"})
     marks = [f"__n_{i}" for i in range(len(present))]
     return flagged.where(reduce(or_, [F.col(m).isNotNull() for m in marks])).drop(*marks)
 

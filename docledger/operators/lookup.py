@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import named
+from docledger.operators.joins import look_up
 from docledger.operators.rollup import first_per_key
 
 
@@ -33,12 +34,4 @@ def enrich(
         unique = lookup
     else:
         unique = first_per_key(lookup, keys, order_by)
-    unique = unique.select(
-        *[named(c).alias(f"__k_{i}") for i, c in enumerate(keys)],
-        *[named(c).alias(new) for c, new in take.items()],
-    )
-    condition = None
-    for i, c in enumerate(on):
-        part = df[f"`{c}`"] == unique[f"__k_{i}"]
-        condition = part if condition is None else condition & part
-    return df.join(unique, condition, "left").drop(*[f"__k_{i}" for i in range(len(keys))])
+    return look_up(df, unique, list(on.items()), take)

@@ -10,23 +10,18 @@ sample could otherwise shift the ranges between the two uses.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.functions import named
+from docledger.operators.joins import null_safe_on
 from docledger.session import checkpoint
 
 HOT_ROWS = 1_000_000
 _ROW_BITS = 33
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(and_, [left[f"`{a}`"].eqNullSafe(right[f"`{b}`"]) for a, b in pairs])
-
-
 def _offsets(parts: DataFrame, amount: str) -> DataFrame:
     # One row per range partition, so this window is bounded by the shuffle width.
     before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)

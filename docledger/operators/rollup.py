@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import named
-from docledger.operators.ordering import null_safe_on
+from docledger.operators.joins import null_safe_on
 
 
 class Agg(Enum):

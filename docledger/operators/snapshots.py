@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named, row_hash
-from docledger.operators.ordering import null_safe_on
+from docledger.operators.joins import null_safe_on
 
 LOG_SCHEMA = "version bigint, file_hash string, message string, created_by string, created_at string"
 _WORDS = 4

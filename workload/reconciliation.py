@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from docledger.functions import composite_key
+from docledger.operators.joins import members
 from docledger.operators.keys import common_keys, distinct_values, key_stats, key_union, restrict_to_first_keys
 from docledger.operators.rollup import Agg, rollup
 from docledger.operators.reconcile import PURCHASE, SALES, STATUS, only_differences, reconcile, voucher_sums
@@ -211,7 +212,7 @@ def _voucher_rollup(t):
     both = generated.withColumn("side", F.lit("generated")).unionByName(
         customer.withColumn("side", F.lit("customer"))
     )
-    return both.join(keys, "Voucher Number", "left_semi")
+    return members(both, keys, ["Voucher Number"])
 
 
 @query("document_types", "select distinct blart from {bkpf}")

@@ -327,7 +327,7 @@ def dossier(
     """
     pads = pads or {}
     types = {f.name: f.dataType for f in df.schema}
-    width = max(len(c.strip()) for c in df.columns) + 1
+    width = max(len(c.strip()) for c in df.columns if not c.startswith("__")) + 1
     label = F.concat_ws("-", *[F.coalesce(named(c).cast("string"), F.lit("None")) for c in key])
 
     lines = [label, F.lit("\n")]

@@ -11,7 +11,7 @@ import datetime
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from xml.etree import ElementTree
 
 import pandas as pd
@@ -131,9 +131,9 @@ def _parser(limit: int | None):
     return parse
 
 
-def read_sheet(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
+def read_sheet(spark: SparkSession, paths: str | Sequence[str], limit: int | None = None) -> DataFrame:
     """Raw cells (path, row_no, cells) of the first sheet of each workbook."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
     return files.mapInPandas(_parser(limit), _CELLS)
 
 
@@ -143,9 +143,25 @@ def sheet_region(cells: DataFrame, first_row: int, last_row: int, columns: str)
     return block.select("row_no", *[F.get("cells", F.lit(_column(c))).alias(c) for c in columns])
 
 
+def headers(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[int, tuple[str | None, ...]], list[str]]:
+    """Workbooks by (header row, header cells); only the header rows reach the driver."""
+    groups: dict[tuple[int, tuple[str | None, ...]], list[str]] = {}
+    for row in read_sheet(spark, paths, limit=1).collect():
+        groups.setdefault((row["row_no"], tuple(row["cells"])), []).append(row["path"])
+    return groups
+
+
+def read_body(
+    spark: SparkSession, paths: Sequence[str], header_row: int, header: Sequence[str | None]
+) -> DataFrame:
+    """Rows below the header of workbooks that share it, all columns as text."""
+    body = read_sheet(spark, paths).where(F.col("row_no") > header_row)
+    return body.select(
+        *[null_if_na(F.get("cells", F.lit(i))).alias(name) for i, name in enumerate(header) if name is not None]
+    )
+
+
 def read_xlsx(spark: SparkSession, path: str) -> DataFrame:
-    """First sheet of a workbook, header in its first row, all columns as text."""
-    header = read_sheet(spark, path, limit=1).first()
-    names = [(i, name) for i, name in enumerate(header["cells"]) if name is not None]
-    body = read_sheet(spark, path).where(F.col("row_no") > header["row_no"])
-    return body.select(*[null_if_na(F.get("cells", F.lit(i))).alias(name) for i, name in names])
+    """First sheet of a workbook, header in its first filled row, all columns as text."""
+    ((row, header), paths), = headers(spark, [path]).items()
+    return read_body(spark, paths, row, header)

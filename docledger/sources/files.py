@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docledger.functions import named, null_if_na
+from docledger.sources import excel
 from docledger.sources.catalog import conform, rename_columns
-from docledger.sources.excel import read_xlsx
 
 ROW_ORDER = "_row_ord"
 _QUOTING = {"quote": '"', "escape": '"'}
@@ -71,21 +71,37 @@ def table_of(path: str) -> str:
 
 
 def read_staged(
-    spark: SparkSession, root: str, catalog: Mapping[str, T.StructType], sep: str = ",", multi_line: bool = False
+    spark: SparkSession,
+    root: str,
+    catalog: Mapping[str, T.StructType],
+    sep: str = ",",
+    multi_line: bool = False,
+    one_header: bool = False,
 ) -> dict[str, DataFrame]:
     """Load every CSV and XLSX under ``root`` into the table its folder names.
 
     Files of a table are grouped by header and read one group at a time, then
-    aligned by column name, so column order may differ between files.
+    aligned by column name, so column order may differ between files. Finding
+    the groups reads the first line of each CSV; ``one_header`` reads only the
+    first file's and leaves the others to the check made during the scan.
     """
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
+    known: dict[str, tuple[str, ...]] = {}
     for path in list_files(spark, root, "*.csv"):
-        groups[table_of(path), tuple(read_header(spark, path, sep))].append(path)
+        table = table_of(path)
+        if table not in known or not one_header:
+            known[table] = tuple(read_header(spark, path, sep))
+        groups[table, known[table]].append(path)
     parts: dict[str, list[DataFrame]] = defaultdict(list)
     for (table, headers), paths in groups.items():
         parts[table].append(read_strings(spark, paths, headers, sep, multi_line))
+
+    workbooks: dict[str, list[str]] = defaultdict(list)
     for path in list_files(spark, root, "*.xlsx"):
-        parts[table_of(path)].append(read_xlsx(spark, path))
+        workbooks[table_of(path)].append(path)
+    for table, paths in workbooks.items():
+        for (row, header), same in excel.headers(spark, paths).items():
+            parts[table].append(excel.read_body(spark, same, row, header))
 
     unknown = sorted(set(parts) - set(catalog))
     if unknown:

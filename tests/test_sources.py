@@ -93,6 +93,24 @@ def test_staged_folder(spark, tmp_path):
     }
 
 
+def test_one_header_for_all_files_is_checked_in_the_scan(spark, tmp_path):
+    put(tmp_path / "input/sales/a.csv", "NO,AMOUNT\n1,1\n")
+    put(tmp_path / "input/sales/b.csv", "NO,AMOUNT\n2,2\n")
+    loaded = files.read_staged(spark, str(tmp_path / "input"), CATALOG, one_header=True)
+    assert loaded["sales"].count() == 2
+    put(tmp_path / "input/sales/c.csv", "AMOUNT,NO\n3,3\n")
+    with pytest.raises(Exception, match="header"):
+        files.read_staged(spark, str(tmp_path / "input"), CATALOG, one_header=True)["sales"].collect()
+
+
+def test_workbooks_are_read_by_header(spark, tmp_path):
+    write_workbook(tmp_path / "input/sales/a.xlsx", [["NO", "NOTE"], ["1", "x"]])
+    write_workbook(tmp_path / "input/sales/b.xlsx", [["NO", "NOTE"], ["2", "y"]])
+    write_workbook(tmp_path / "input/sales/c.xlsx", [["NOTE", "NO"], ["z", "3"]])
+    rows = files.read_staged(spark, str(tmp_path / "input"), CATALOG)["sales"].collect()
+    assert sorted((r.NO, r.NOTE) for r in rows) == [("1", "x"), ("2", "y"), ("3", "z")]
+
+
 def test_staged_value_that_does_not_cast_fails(spark, tmp_path):
     put(tmp_path / "input/sales/a.csv", "NO,AMOUNT\n1,many\n")
     with pytest.raises(PySparkException):

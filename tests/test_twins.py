@@ -4,6 +4,7 @@ import check_twins
 import pytest
 
 import __spark_entry__ as entry
+import workload
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -14,10 +15,10 @@ def connection():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(workload.queries()) == set(workload.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(workload.queries()))
 def test_twin(spark, connection, name):
     assert check_twins.compare(spark, connection, FOLDER, name) is None
 

@@ -62,19 +62,19 @@ def _jumps(nodes: DataFrame) -> list[DataFrame]:
     )
     levels = [level]
     everyone = level.count()
-    while level.where(F.col("up").isNotNull()).limit(1).count() and 1 << (len(levels) - 1) <= everyone:
+    climbing = F.col("up").isNotNull()
+    while level.where(climbing).limit(1).count() and 1 << (len(levels) - 1) <= everyone:
         far = level.select(
             F.col("conv_id").alias("c"), F.col("node_id").alias("n"), F.col("up").alias("far"),
             F.col("total").alias("more"), F.col("steps").alias("further"),
         )
-        joined = level.join(far, level["conv_id"].eqNullSafe(far["c"]) & (level["up"] == far["n"]), "left")
-        level = checkpoint(
-            joined.select(
-                "conv_id", "node_id", F.col("far").alias("up"),
-                (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                (F.col("steps") + F.coalesce("further", F.lit(0).cast("long"))).alias("steps"),
-            )
+        below = level.where(climbing)  # what has reached its root is kept as it is
+        joined = below.join(far, below["conv_id"].eqNullSafe(far["c"]) & (below["up"] == far["n"]))
+        raised = joined.select(
+            "conv_id", "node_id", F.col("far").alias("up"),
+            (F.col("total") + F.col("more")).alias("total"), (F.col("steps") + F.col("further")).alias("steps"),
         )
+        level = checkpoint(raised.unionByName(level.where(~climbing)))
         levels.append(level)
     return levels
 

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import chat, mixing, secrets, topk
+from docledger.llm import chat, decontaminate, jaccard, langid, mixing, quality, secrets, tokenids, topk
+from docledger.llm.words import scratch_folder
 from docledger.operators.ordering import with_position
 
 
@@ -104,6 +105,71 @@ def op3_chat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def held_out() -> Column:
+    """The fold that no model learns from: ids whose CRC as text is divisible by 5."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+
+
+def op4_langid(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = langid.fit(docs, ~held_out())
+    return langid.predict(docs, model).select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def op5_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "shared", "n_shingles").distinct()
+
+
+OP5_SQL = r"""
+with said as (
+  select doc_id, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
+), asked as (
+  select item_id, text, list_filter(regexp_split_to_array(lower(text), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from benchmark
+), items as (
+  select item_id, text, least(len(w), 5) as width, unnest(list_distinct(list_transform(range(1, len(w) - least(len(w), 5) + 2),
+    lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' ')))) as shingle
+  from asked where len(w) > 0
+), widths as (
+  select distinct width from items
+), shingles as (
+  select distinct doc_id, w, width, shingle from (
+    select doc_id, w, width, unnest(list_transform(range(1, len(w) - width + 2),
+      lambda i: array_to_string(w[i:i + width - 1], ' '))) as shingle
+    from said, widths where len(w) >= width)
+), sizes as (
+  select item_id, text, width, count(*) as n_shingles from items group by all
+), found as (
+  select s.doc_id, s.w, i.item_id, i.text, count(*) as shared
+  from shingles s join items i on s.width = i.width and s.shingle = i.shingle group by all
+)
+select distinct f.doc_id, f.item_id, cast(f.shared as integer) as shared, cast(z.n_shingles as integer) as n_shingles
+from found f join sizes z on f.item_id = z.item_id and f.text = z.text
+where 100 * f.shared >= 80 * z.n_shingles
+"""
+
+
+def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    model = quality.fit(docs, _table(spark, folder, "labels"), ~held_out())
+    return quality.score(docs, model).select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+def op10_tokenids(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    written = tokenids.write_token_ids(
+        _table(spark, folder, "documents"), scratch_folder(spark, "tokenids"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return tokenids.read_token_ids(spark, written)
+
+
 def op9_topk(spark: SparkSession, folder: str) -> DataFrame:
     vectors = _table(spark, folder, "embeddings")
     return topk.exact_top_k(vectors, F.col("vec_id") % 20 == 0)
@@ -129,10 +195,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
     "op3_chat": op3_chat,
+    "op4_langid": op4_langid,
+    "op5_decontaminate": op5_decontaminate,
+    "op6_jaccard": op6_jaccard,
+    "op8_quality": op8_quality,
     "op9_topk": op9_topk,
+    "op10_tokenids": op10_tokenids,
 }
 
-SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op9_topk": OP9_SQL}
+SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9_topk": OP9_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -104,3 +104,18 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
         out *= _WORD_STEP
         out += words[i : i + n]
     return mixed(out)
+
+
+def utf8_rows(column) -> list[np.ndarray]:
+    """The bytes of each text of an Arrow string column, not copied; a null text has none."""
+    import pyarrow as pa
+
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + len(column) + 1]
+    every = np.frombuffer(data, dtype=np.uint8) if data is not None else np.empty(0, dtype=np.uint8)
+    rows = [every[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+    if column.null_count:
+        valid = column.is_valid().to_pylist()
+        rows = [r if ok else r[:0] for r, ok in zip(rows, valid, strict=True)]
+    return rows

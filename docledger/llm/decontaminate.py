@@ -56,6 +56,13 @@ def _shingle_rows(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
     return rows.select(*keep, *[F.col("words")[F.col("place") + i].alias(f"w{i}") for i in range(width)])
 
 
+def _distinct_shingles(width: int) -> Column:
+    """The shingles of column ``words`` as strings."""
+    last = F.size("words") - width + 1
+    places = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.expr("cast(array() as array<int>)"))
+    return F.array_distinct(F.transform(places, lambda i: F.array_join(F.slice("words", i, width), " ")))
+
+
 def item_sketches(items: DataFrame, words: int = SHINGLE_WORDS, percent: int = LEAST_PERCENT):
     """Items (item_key, item_id, width, shingles, n, lacking, needed) and sketch rows (hash, item_key, width, needed)."""
     split = items.select(_key(F.col("item_id"), F.col("text")).alias("item_key"), "item_id", _words(F.col("text")).alias("words"))
@@ -119,13 +126,7 @@ def contaminated(
     split = suspects.join(_small(asked, rows), "doc_key").select(
         "doc_key", "doc_id", _words(F.col("text")).alias("words"), "asked"
     )
-    has = {}
-    for width in widths:
-        at = F.when(F.size("words") >= width, F.sequence(F.lit(1), F.size("words") - width + 1)).otherwise(
-            F.expr("cast(array() as array<int>)")
-        )
-        has[width] = F.array_distinct(F.transform(at, lambda i, w=width: F.array_join(F.slice("words", i, w), " ")))
-    shingled = split.select("doc_key", "doc_id", "asked", *[has[w].alias(f"has_{w}") for w in widths])
+    shingled = split.select("doc_key", "doc_id", "asked", *[_distinct_shingles(w).alias(f"has_{w}") for w in widths])
     each = shingled.select("doc_key", "doc_id", F.explode("asked").alias("a"), *[f"has_{w}" for w in widths])
     shared = F.lit(0)
     for w in widths:

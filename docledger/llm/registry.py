@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import chat, decontaminate, jaccard, langid, mixing, quality, secrets, tokenids, topk
+from docledger.llm import chat, decontaminate, jaccard, langid, mixing, quality, secrets, substrings, tokenids, topk
 from docledger.llm.words import scratch_folder
 from docledger.operators.ordering import with_position
 
@@ -153,6 +153,10 @@ def op6_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op7_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.without_repeats(_table(spark, folder, "documents"))
+
+
 def op8_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     model = quality.fit(docs, _table(spark, folder, "labels"), ~held_out())
@@ -198,6 +202,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": op4_langid,
     "op5_decontaminate": op5_decontaminate,
     "op6_jaccard": op6_jaccard,
+    "op7_substrings": op7_substrings,
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_tokenids": op10_tokenids,

@@ -283,7 +283,8 @@ def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, per
     wanted = asked.select(F.col("row_id").alias("wanted_id"), "node")
     if asked.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
-    texts = docs.join(wanted, F.xxhash64("doc_id", "text") == F.col("wanted_id")).select("node", "text")
+    narrow = docs.select("doc_id", "text")
+    texts = narrow.join(wanted, F.xxhash64("doc_id", "text") == F.col("wanted_id")).select("node", "text")
     sets = written(
         texts.mapInArrow(_sets(width), "node long, shingles array<long>").dropDuplicates(["node"]), "jaccard-sets"
     )

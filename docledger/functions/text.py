@@ -33,9 +33,14 @@ def composite_key(columns: Iterable[str], sep: str = "") -> Column:
     return F.concat_ws(sep, *[F.coalesce(named(c).cast("string"), F.lit("")) for c in columns])
 
 
-def pad_key(column: Column, width: int) -> Column:
-    """Zero-pad on the left; longer text is cut to ``width``."""
-    return F.lpad(column, width, "0")
+def pad_key(column: Column, width: int, cut: bool = False) -> Column:
+    """Zero-pad on the left. Longer text fails, as two keys could become one;
+    ``cut`` cuts it to ``width`` instead."""
+    padded = F.lpad(column, width, "0")
+    if cut:
+        return padded
+    message = F.concat(F.lit(f"key longer than {width}: "), column)
+    return F.when(F.length(column) > width, F.raise_error(message)).otherwise(padded)
 
 
 def rjust_key(column: Column, width: int) -> Column:
@@ -58,8 +63,10 @@ def dotted_date(column: Column) -> Column:
 
 
 def suffix_match(columns: Sequence[str], number: str) -> Column:
-    """True where any column ends in ``number``; % and _ in it stay wildcards."""
-    return reduce(or_, [named(c).like("%" + number) for c in columns])
+    """True where any column ends in ``number``; % and _ in it stay wildcards, a
+    backslash is a plain character."""
+    pattern = "%" + number.replace("\\", "\\\\")
+    return reduce(or_, [named(c).like(pattern) for c in columns])
 
 
 def split_fields(column: Column) -> Column:
@@ -79,10 +86,34 @@ def value_text(column: Column, data_type: T.DataType) -> Column:
     return column.cast("string")
 
 
+def _has_map(data_type: T.DataType) -> bool:
+    if isinstance(data_type, T.MapType):
+        return True
+    if isinstance(data_type, T.ArrayType):
+        return _has_map(data_type.elementType)
+    return isinstance(data_type, T.StructType) and any(_has_map(f.dataType) for f in data_type)
+
+
+def sorted_maps(column: Column, data_type: T.DataType) -> Column:
+    """The value with every map as its entries in key order, nested ones too."""
+    if not _has_map(data_type):
+        return column
+    if isinstance(data_type, T.ArrayType):
+        return F.transform(column, lambda x: sorted_maps(x, data_type.elementType))
+    if isinstance(data_type, T.StructType):
+        members = [sorted_maps(column.getField(f.name), f.dataType).alias(f.name) for f in data_type]
+        return F.when(column.isNotNull(), F.struct(*members))
+    keys = F.array_sort(F.map_keys(column))
+    entries = F.transform(
+        keys, lambda k: F.struct(k.alias("key"), sorted_maps(F.element_at(column, k), data_type.valueType).alias("value"))
+    )
+    return F.when(column.isNotNull(), entries)
+
+
 def row_hash(columns: Iterable[tuple[str, T.DataType]]) -> Column:
     """md5 over length-prefixed cell texts, so neighbours cannot run together."""
     cells = []
     for name, data_type in columns:
-        text = value_text(named(name), data_type)
+        text = value_text(sorted_maps(named(name), data_type), data_type)
         cells.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("~")))
     return F.md5(F.concat(*cells))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docledger.functions import named
+from docledger.functions import named, pad_key
 
 # Declared type names and what they load as. A bare NUMERIC holds
 # 18 digits, 3 of them decimals.
@@ -89,7 +89,10 @@ def schema_inventory(spark: SparkSession, tables: Mapping[str, DataFrame] | None
     return spark.createDataFrame(rows, "TABLE string, COLUMN string, TYPE string")
 
 
-def rewrite_key(df: DataFrame, column: str, width: int) -> DataFrame:
-    """Replace a key by its zero-padded form, moved to the end of the table."""
-    padded = F.lpad(named(column), width, "0").alias(column)
+def rewrite_key(df: DataFrame, column: str, width: int, cut: bool = False) -> DataFrame:
+    """Replace a key by its zero-padded form, moved to the end of the table.
+
+    A longer key fails unless ``cut`` allows two keys to become one.
+    """
+    padded = pad_key(named(column), width, cut).alias(column)
     return df.select(*[named(c) for c in df.columns if c != column], padded)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, ge, gt, le, lt
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -26,19 +26,22 @@ def literal(text: str, data_type: T.DataType) -> Column:
 
 
 def predicate(df: DataFrame, column: str, operator: str, values: Sequence[str]) -> Column:
+    """One predicate of a spec: equal to any of the values, unequal to all of them,
+    or ordered against a single one."""
+    if not values:
+        raise ValueError(f"no value for {column} {operator}")
     wanted = [literal(v, df.schema[column].dataType) for v in values]
     target = named(column)
     if operator.upper() in ("=", "IN"):
         return target.isin(*wanted) if len(wanted) > 1 else target == wanted[0]
-    comparisons = {
-        ">=": target >= wanted[0],
-        "<=": target <= wanted[0],
-        ">": target > wanted[0],
-        "<": target < wanted[0],
-        "!=": target != wanted[0],
-        "<>": target != wanted[0],
-    }
-    return comparisons[operator]
+    if operator in ("!=", "<>"):
+        return ~target.isin(*wanted) if len(wanted) > 1 else target != wanted[0]
+    ordered = {">=": ge, "<=": le, ">": gt, "<": lt}
+    if operator not in ordered:
+        raise ValueError(f"unknown operator {operator} for {column}")
+    if len(wanted) > 1:
+        raise ValueError(f"{column} {operator} takes one value, not {len(wanted)}")
+    return ordered[operator](target, wanted[0])
 
 
 def extract(df: DataFrame, spec: Mapping[str, Any]) -> DataFrame:

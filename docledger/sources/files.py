@@ -6,7 +6,7 @@ import csv
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +33,23 @@ def with_row_order(df: DataFrame) -> DataFrame:
 def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names of a file, without a byte-order mark; repeated names are an error."""
     first = spark.read.text(path).first()
-    line = first[0].removeprefix("﻿") if first else ""
-    headers = next(csv.reader([line], delimiter=sep), [])
+    return header_names(first[0] if first else "", sep)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """The first line of every file by plain path, from one job; a file without lines has none."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value", place.alias("at"))
+    found = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
+    return {plain_path(r["path"]): r["line"] for r in found.toLocalIterator()}
+
+
+def plain_path(path: str) -> str:
+    return unquote(urlparse(path).path)
+
+
+def header_names(line: str, sep: str = ",") -> list[str]:
+    headers = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])
     repeated = sorted({h for h in headers if headers.count(h) > 1})
     if repeated:
         raise ValueError(f"Duplicate columns found in CSV headers: {repeated}")
@@ -42,22 +57,26 @@ def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
 
 
 def read_strings(
-    spark: SparkSession, paths: str | Sequence[str], headers: Sequence[str], sep: str = ",", multi_line: bool = False
+    spark: SparkSession, paths: str | Sequence[str], headers: Sequence[str], sep: str = ",", multi_line: bool = True
 ) -> DataFrame:
     """All columns as text, missing-value tokens as NULL.
 
-    Every file's header is checked against ``headers`` as it is scanned.
+    Every file's header is checked against ``headers`` as it is scanned, and a
+    row with more or fewer cells fails the read. Quoted line breaks stay inside
+    their cell; ``multi_line=False`` is for files known to have none, whose
+    large ones can then be split among tasks.
     """
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    raw = spark.read.csv(
-        paths, schema=schema, header=True, sep=sep, enforceSchema=False, multiLine=multi_line, **_QUOTING
+    raw = spark.read.option("columnPruning", "false").csv(
+        paths, schema=schema, header=True, sep=sep, mode="FAILFAST", enforceSchema=False, multiLine=multi_line, **_QUOTING
     )
     return raw.select(*[null_if_na(named(h)).alias(h) for h in headers])
 
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", all_text: bool = True) -> DataFrame:
-    """A delimited file as text columns, or with inferred types."""
-    return spark.read.csv(path, header=True, sep=sep, inferSchema=not all_text, **_QUOTING)
+    """A delimited file as text columns, or with inferred types; a malformed row fails."""
+    reader = spark.read.option("columnPruning", "false")
+    return reader.csv(path, header=True, sep=sep, inferSchema=not all_text, mode="FAILFAST", multiLine=True, **_QUOTING)
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> list[str]:
@@ -75,29 +94,30 @@ def read_staged(
     root: str,
     catalog: Mapping[str, T.StructType],
     sep: str = ",",
-    multi_line: bool = False,
-    one_header: bool = False,
+    multi_line: bool = True,
 ) -> dict[str, DataFrame]:
     """Load every CSV and XLSX under ``root`` into the table its folder names.
 
-    Files of a table are grouped by header and read one group at a time, then
-    aligned by column name, so column order may differ between files. Finding
-    the groups reads the first line of each CSV; ``one_header`` reads only the
-    first file's and leaves the others to the check made during the scan.
+    A file of any other kind is an error. Files of a table are grouped by header
+    and read one group at a time, then aligned by column name, so column order
+    may differ between files. One job finds the first lines of all CSV files.
     """
+    kinds: dict[str, list[str]] = {".csv": [], ".xlsx": []}
+    for path in list_files(spark, root, "*"):
+        kind = PurePosixPath(path).suffix.lower()
+        if kind not in kinds:
+            raise ValueError(f"neither CSV nor XLSX: {path}")
+        kinds[kind].append(path)
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
-    known: dict[str, tuple[str, ...]] = {}
-    for path in list_files(spark, root, "*.csv"):
-        table = table_of(path)
-        if table not in known or not one_header:
-            known[table] = tuple(read_header(spark, path, sep))
-        groups[table, known[table]].append(path)
+    lines = first_lines(spark, kinds[".csv"]) if kinds[".csv"] else {}
+    for path in kinds[".csv"]:
+        groups[table_of(path), tuple(header_names(lines.get(plain_path(path), ""), sep))].append(path)
     parts: dict[str, list[DataFrame]] = defaultdict(list)
     for (table, headers), paths in groups.items():
         parts[table].append(read_strings(spark, paths, headers, sep, multi_line))
 
     workbooks: dict[str, list[str]] = defaultdict(list)
-    for path in list_files(spark, root, "*.xlsx"):
+    for path in kinds[".xlsx"]:
         workbooks[table_of(path)].append(path)
     for table, paths in workbooks.items():
         for (row, header), same in excel.headers(spark, paths).items():
@@ -150,8 +170,8 @@ def attach(frames: Mapping[str, DataFrame], layer: str) -> None:
 
 
 def task_files(tasks: DataFrame, column: str) -> DataFrame:
-    """(table, url, file) per entry of the file lists in task descriptions (JSON)."""
+    """(table, url, file) per entry of the file lists in task descriptions (JSON); malformed JSON fails."""
     schema = "request struct<fileInfo:map<string,array<struct<s3FileUrl:string,userFileName:string>>>>"
-    files = tasks.select(F.from_json(named(column), schema)["request"]["fileInfo"].alias("info"))
+    files = tasks.select(F.from_json(named(column), schema, {"mode": "FAILFAST"})["request"]["fileInfo"].alias("info"))
     entries = files.select(F.explode("info").alias("table", "entries"))
     return entries.select("table", F.inline("entries").alias("url", "file"))

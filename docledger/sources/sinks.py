@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from docledger.operators.reconcile import only_differences
+from docledger.operators.reconcile import Labels, only_differences
 
 
 def write_register(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> None:
@@ -19,6 +19,6 @@ def write_register(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
         writer.format(fmt).save(path)
 
 
-def write_report(report: DataFrame, path: str, only_diff: bool = False) -> None:
-    """Comparison report as CSV, all rows or only those that are not exact."""
-    write_register(only_differences(report) if only_diff else report, path, "csv")
+def write_report(report: DataFrame, path: str, only_diff: bool = False, labels: Labels = Labels()) -> None:
+    """Comparison report as CSV, all rows or only those that ``labels`` doesn't call exact."""
+    write_register(only_differences(report, labels) if only_diff else report, path, "csv")

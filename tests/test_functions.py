@@ -1,5 +1,6 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from docledger import functions as fn
@@ -28,7 +29,10 @@ def test_text_to_real(spark):
 
 
 def test_padding(spark):
-    assert values(spark, ["7", "12345", None], lambda c: fn.pad_key(c, 3)) == ["007", "123", None]
+    assert values(spark, ["7", "12345", None], lambda c: fn.pad_key(c, 3, cut=True)) == ["007", "123", None]
+    assert values(spark, ["7", "123", None], lambda c: fn.pad_key(c, 3)) == ["007", "123", None]
+    with pytest.raises(Exception, match="longer than 3"):
+        values(spark, ["1234"], lambda c: fn.pad_key(c, 3))
     assert values(spark, ["7", "12345", None], lambda c: fn.rjust_key(c, 3)) == ["007", "12345", None]
 
 

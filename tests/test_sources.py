@@ -12,7 +12,7 @@ from docledger.plans.comparison import Override, compare_with_file, run_comparis
 from docledger.sources import catalog as cat
 from docledger.sources import files
 from docledger.sources.excel import read_sheet, read_xlsx, sheet_region
-from docledger.sources.extract import extract, table_specs
+from docledger.sources.extract import extract, predicate, table_specs
 from docledger.sources.sinks import write_register
 
 MAIN = "http://schemas.openxmlformats.org/spreadsheetml/2006/main"
@@ -93,14 +93,43 @@ def test_staged_folder(spark, tmp_path):
     }
 
 
-def test_one_header_for_all_files_is_checked_in_the_scan(spark, tmp_path):
-    put(tmp_path / "input/sales/a.csv", "NO,AMOUNT\n1,1\n")
-    put(tmp_path / "input/sales/b.csv", "NO,AMOUNT\n2,2\n")
-    loaded = files.read_staged(spark, str(tmp_path / "input"), CATALOG, one_header=True)
-    assert loaded["sales"].count() == 2
-    put(tmp_path / "input/sales/c.csv", "AMOUNT,NO\n3,3\n")
-    with pytest.raises(Exception, match="header"):
-        files.read_staged(spark, str(tmp_path / "input"), CATALOG, one_header=True)["sales"].collect()
+def test_headers_of_all_files_are_found_in_one_job(spark, tmp_path):
+    for i in range(6):
+        put(tmp_path / f"input/sales/f {i}.csv", "NO,AMOUNT\n1,1\n" if i % 2 else "\ufeffAMOUNT,NO\n2,2\n")
+    group = "first-lines"
+    spark.sparkContext.setJobGroup(group, group)
+    lines = files.first_lines(spark, files.list_files(spark, str(tmp_path / "input"), "*"))
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(lines) == 6 and len(jobs) <= 12
+    rows = files.read_staged(spark, str(tmp_path / "input"), CATALOG)["sales"].collect()
+    assert sorted(r.NO for r in rows) == ["1", "1", "1", "2", "2", "2"]
+
+
+@pytest.mark.parametrize("name", ["a.xls", "a.txt", "a.csv.gz"])
+def test_unknown_kinds_of_files_fail(spark, tmp_path, name):
+    put(tmp_path / "input/sales/ok.CSV", "NO,AMOUNT\n1,1\n")
+    assert files.read_staged(spark, str(tmp_path / "input"), CATALOG)["sales"].count() == 1
+    put(tmp_path / f"input/sales/{name}", "NO,AMOUNT\n1,1\n")
+    with pytest.raises(ValueError, match="neither CSV nor XLSX"):
+        files.read_staged(spark, str(tmp_path / "input"), CATALOG)
+
+
+def test_rows_are_neither_cut_nor_torn(spark, tmp_path):
+    put(tmp_path / "input/sales/a.csv", 'NO,NOTE\n1,"two\nlines"\n2,x\n')
+    rows = files.read_staged(spark, str(tmp_path / "input"), CATALOG)["sales"].collect()
+    assert sorted((r.NO, r.NOTE) for r in rows) == [("1", "two\nlines"), ("2", "x")]
+    put(tmp_path / "input/sales/b.csv", "NO,NOTE\n1,2,3\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_staged(spark, str(tmp_path / "input"), CATALOG)["sales"].collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_delimited(spark, str(tmp_path / "input/sales/b.csv")).collect()
+
+
+def test_malformed_json_fails(spark):
+    tasks = spark.createDataFrame([("{not json",)], "task string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.task_files(tasks, "task").collect()
 
 
 def test_workbooks_are_read_by_header(spark, tmp_path):
@@ -236,6 +265,17 @@ def test_extract_spec(spark):
         extract(lines, parsed)
 
 
+def test_extract_value_lists(spark):
+    lines = spark.createDataFrame([("a",), ("b",), ("c",), (None,)], "x string")
+    rows = lambda operator, values: sorted(r.x for r in lines.where(predicate(lines, "x", operator, values)).collect())
+    assert rows("!=", ["a", "b"]) == rows("<>", ["a", "b"]) == ["c"]
+    assert rows("in", ["a", "c"]) == rows("=", ["a", "c"]) == ["a", "c"]
+    assert rows(">=", ["b"]) == ["b", "c"]
+    for operator, values in ((">", ["a", "b"]), ("=", []), ("~", ["a"])):
+        with pytest.raises(ValueError):
+            predicate(lines, "x", operator, values)
+
+
 def test_extract_filter_reaches_the_scan(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     spec = {

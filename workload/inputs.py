@@ -210,7 +210,7 @@ def _pad_keys(t):
     return t("lineitem").select(
         "l_orderkey",
         "l_partkey",
-        pad_key(number, 5).alias("padded"),
+        pad_key(number, 5, cut=True).alias("padded"),
         rjust_key(number, 5).alias("justified"),
         dotted_date(F.col("l_shipdate")).alias("shipped"),
     )
@@ -223,4 +223,4 @@ def _pad_keys(t):
 )
 def _rewrite_key(t):
     lines = t("gen").select("doc_no", "l_partkey", "l_suppkey", "taxable")
-    return rewrite_key(lines, "doc_no", 3)
+    return rewrite_key(lines, "doc_no", 3, cut=True)

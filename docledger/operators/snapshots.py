@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import datetime
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named, row_hash
-from docledger.operators.joins import null_safe_on
 
 LOG_SCHEMA = "version bigint, file_hash string, message string, created_by string, created_at string"
 _WORDS = 4
@@ -55,59 +54,53 @@ def file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> Data
     return reader.load(path).select("path", F.md5("content").alias("hash"))
 
 
-def _per_key(df: DataFrame, key: Sequence[str], values: Sequence[str]) -> DataFrame:
-    types = {f.name: f.dataType for f in df.schema}
-    digests = df.select(
-        *[named(c) for c in key], row_hash([(c, types[c]) for c in values]).alias("__d")
-    )
-    folded = digests.groupBy(*[named(c) for c in key]).agg(
-        *[c.alias(f"__f{i}") for i, c in enumerate(_fold(F.col("__d")))]
-    )
-    return folded.select(
-        *[named(c) for c in key],
-        _folded_text([F.col(f"__f{i}") for i in range(_WORDS + 1)]).alias("__content"),
-    )
-
-
 def snapshot_diff(
     old: DataFrame, new: DataFrame, key: Sequence[str], values: Sequence[str] | None = None
 ) -> DataFrame:
     """(key, change): Added, Removed or Modified; unchanged keys are not reported.
 
-    Both sides fold to one content digest per key before they meet, so repeated
-    keys neither multiply nor need an order.
+    Rows of both sides meet in one aggregate that sums their digests per key and
+    side, on the map side first, so repeated keys neither multiply nor need an
+    order and there is one shuffle.
     """
     values = list(values or [c for c in old.columns if c not in key])
-    before = _per_key(old, key, values)
-    after = _per_key(new, key, values)
-    after = after.select(
-        *[named(c).alias(f"__n_{i}") for i, c in enumerate(key)], F.col("__content").alias("__new")
+    keys = [named(c) for c in key]
+    sides = []
+    for side, frame in (("old", old), ("new", new)):
+        types = {f.name: f.dataType for f in frame.schema}
+        sides.append(frame.select(*keys, F.lit(side).alias("__side"), row_hash([(c, types[c]) for c in values]).alias("__d")))
+    of = {side: F.when(F.col("__side") == side, F.col("__d")) for side in ("old", "new")}
+    sums = []
+    for side in ("old", "new"):
+        sums.append(F.count(of[side]).alias(f"__{side}_rows"))
+        sums += [F.sum(_word(of[side], i)).alias(f"__{side}_{i}") for i in range(_WORDS)]
+    folded = sides[0].unionByName(sides[1]).groupBy(*keys).agg(*sums)
+    same = reduce(
+        and_,
+        [F.col("__old_rows") == F.col("__new_rows"), *[F.col(f"__old_{i}") == F.col(f"__new_{i}") for i in range(_WORDS)]],
     )
-    joined = before.join(after, null_safe_on(before, after, [(c, f"__n_{i}") for i, c in enumerate(key)]), "full")
     change = (
-        F.when(F.col("__content").isNull(), "Added")
-        .when(F.col("__new").isNull(), "Removed")
-        .when(F.col("__content") != F.col("__new"), "Modified")
+        F.when(F.col("__old_rows") == 0, "Added").when(F.col("__new_rows") == 0, "Removed").when(~same, "Modified")
     )
-    return joined.select(
-        *[F.coalesce(named(c), F.col(f"__n_{i}")).alias(c) for i, c in enumerate(key)],
-        change.alias("change"),
-    ).where(F.col("change").isNotNull())
+    return folded.select(*keys, change.alias("change")).where(F.col("change").isNotNull())
 
 
 def versions(spark: SparkSession, root: str) -> DataFrame:
-    """The version log, oldest first; empty before the first write."""
-    try:
-        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/_log")
-    except (AnalysisException, Py4JJavaError):
+    """The version log, oldest first; empty before the first write.
+
+    Only a log that isn't there counts as empty; any other failure to read it is raised.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_log")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/_log", mode="FAILFAST")
+    else:
         log = spark.createDataFrame([], LOG_SCHEMA)
     return log.orderBy("version")
 
 
 def latest_version(log: DataFrame) -> DataFrame:
-    """One row: version and file_hash of the newest log entry."""
-    newest = F.struct("created_at", "version")
-    return log.agg(F.max_by("version", newest).alias("version"), F.max_by("file_hash", newest).alias("file_hash"))
+    """One row: number and file_hash of the highest version, whatever the clock said."""
+    return log.agg(F.max("version").alias("version"), F.max_by("file_hash", "version").alias("file_hash"))
 
 
 def write_version(df: DataFrame, root: str, message: str, created_by: str) -> int | None:
@@ -115,6 +108,7 @@ def write_version(df: DataFrame, root: str, message: str, created_by: str) -> in
 
     Returns the version number, or None when nothing changed. The log row is
     appended after the data is committed, so a failed job leaves no version.
+    A folder that is there already is never overwritten; times are UTC.
     """
     spark = df.sparkSession
     digest = fingerprint(df).first()["fingerprint"]
@@ -122,8 +116,9 @@ def write_version(df: DataFrame, root: str, message: str, created_by: str) -> in
     if last["file_hash"] == digest:
         return None
     number = (last["version"] or 0) + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={number}")
-    entry = (number, digest, message, created_by, datetime.datetime.now().strftime("%Y-%m-%d %H:%M:%S"))
+    df.write.mode("errorifexists").parquet(f"{root}/version={number}")
+    now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%d %H:%M:%S")
+    entry = (number, digest, message, created_by, now)
     spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_log")
     return number
 

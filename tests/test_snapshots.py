@@ -52,6 +52,52 @@ def test_versioned_write(spark, tmp_path):
     assert read_version(spark, root, 1).first().v == 1
 
 
+def test_versions_follow_numbers_not_clocks(spark, tmp_path):
+    root = str(tmp_path / "register")
+    for v in (1, 2):
+        write_version(frame(spark, [("a", v)]), root, f"v{v}", "me")
+    late = [(1, "x", "v1", "me", "2999-01-01 00:00:00")]
+    spark.createDataFrame(late, "version long, file_hash string, message string, created_by string, created_at string").write.mode(
+        "append"
+    ).json(f"{root}/_log")
+    assert write_version(frame(spark, [("a", 3)]), root, "v3", "me") == 3
+    assert [read_version(spark, root, v).first().v for v in (1, 2, 3)] == [1, 2, 3]
+    assert read_version(spark, root).first().v == 3
+
+
+def test_nothing_is_overwritten(spark, tmp_path):
+    root = str(tmp_path / "register")
+    write_version(frame(spark, [("a", 1)]), root, "first", "me")
+    frame(spark, [("left", 9)]).write.parquet(f"{root}/version=2")
+    with pytest.raises(Exception, match="(?i)exists"):
+        write_version(frame(spark, [("a", 2)]), root, "second", "me")
+    assert spark.read.parquet(f"{root}/version=2").first().v == 9
+
+
+def test_an_unreadable_log_is_no_empty_log(spark, tmp_path):
+    root = tmp_path / "register"
+    write_version(frame(spark, [("a", 1)]), str(root), "first", "me")
+    (root / "_log" / "part-broken.json").write_text("{not json\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        write_version(frame(spark, [("a", 2)]), str(root), "second", "me")
+    assert spark.read.parquet(f"{root}/version=1").first().v == 1
+
+
+def test_equal_maps_are_equal_in_any_order(spark):
+    kind = "k int, m map<string,map<string,int>>, a array<map<string,int>>"
+    old = spark.createDataFrame([(1, {"x": {"p": 1, "q": 2}, "y": {}}, [{"a": 1, "b": 2}]), (2, None, None), (3, {}, [])], kind)
+    new = spark.createDataFrame([(1, {"y": {}, "x": {"q": 2, "p": 1}}, [{"b": 2, "a": 1}]), (2, None, None), (3, {}, [])], kind)
+    assert snapshot_diff(old, new, ["k"]).isEmpty()
+    assert fingerprint(old).first() == fingerprint(new).first()
+    other = spark.createDataFrame([(1, {"y": {}, "x": {"q": 2, "p": 9}}, [{"b": 2, "a": 1}]), (2, {}, None), (3, None, [])], kind)
+    assert {r.k for r in snapshot_diff(old, other, ["k"]).collect()} == {1, 2, 3}
+
+
+def test_snapshot_diff_has_one_exchange(spark):
+    plan = snapshot_diff(frame(spark, [("a", 1)]), frame(spark, [("a", 1)]), ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
 def test_file_hashes(spark, tmp_path):
     (tmp_path / "a.sql").write_text("select 1")
     (tmp_path / "sub").mkdir()

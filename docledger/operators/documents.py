@@ -38,7 +38,6 @@ LEDGER_COLUMNS = (
     "prctr", "lifnr", "kunnr", "gst_part", "hsn_sac",
 )
 LANGUAGE = "E"
-SAMPLE_ROWS = 1000
 
 
 def first_available(spark: SparkSession, names: Sequence[str]) -> str:
@@ -56,12 +55,18 @@ def pick(df: DataFrame, keys: DataFrame | None, columns: Sequence[str] = DOC_KEY
 # --- search -----------------------------------------------------------------
 
 
-def search(headers: DataFrame, types: Sequence[str], number: str | None = None, limit: int = SAMPLE_ROWS) -> DataFrame:
-    """Documents of ``types`` with an id ending in ``number``, or a sample of them."""
-    typed = headers.where(F.col("blart").isin(*types)).select(*SEARCH_COLUMNS)
-    if number:
-        return typed.where(suffix_match(SEARCH_IDS, number))
-    return repeatable_sample(typed, DOC_KEY, limit)
+def search(headers: DataFrame, types: Sequence[str], number: str) -> DataFrame:
+    """Documents of ``types`` with an id ending in ``number``; an empty number finds all."""
+    return _typed(headers, types).where(suffix_match(SEARCH_IDS, number))
+
+
+def sample_documents(headers: DataFrame, types: Sequence[str], limit: int) -> DataFrame:
+    """A repeatable sample of ``limit`` documents of ``types``."""
+    return repeatable_sample(_typed(headers, types), DOC_KEY, limit)
+
+
+def _typed(headers: DataFrame, types: Sequence[str]) -> DataFrame:
+    return headers.where(F.col("blart").isin(*types)).select(*SEARCH_COLUMNS)
 
 
 def repeatable_sample(df: DataFrame, key: Sequence[str], limit: int) -> DataFrame:
@@ -277,7 +282,11 @@ def with_document(billing_table: DataFrame, billing: DataFrame) -> DataFrame:
 
 def vendors(ledger: DataFrame, vendor_master: DataFrame) -> DataFrame:
     """Vendors of a document: vendor and tax partner ids of its ledger lines."""
-    ids = _id_union([_ids(ledger, ["lifnr", "gst_part"], "lifnr")], "lifnr")
+    pairs = _ids(ledger, ["lifnr", "gst_part"], "lifnr")
+    if pairs is None:
+        columns = vendor_master.select(*[named(c) for c in vendor_master.columns])
+        return ledger.select(*DOC_KEY).where(F.lit(False)).join(columns, F.lit(False), "left")
+    ids = pairs.distinct()
     return ids.join(vendor_master, "lifnr").select(*DOC_KEY, *[named(c) for c in vendor_master.columns])
 
 

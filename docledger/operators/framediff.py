@@ -54,17 +54,27 @@ class Shape:
         )
 
 
+def shape_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: rows and columns of both sides, and the headers found on one side only."""
+    sides = left.select(F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    nought = F.lit(0).cast("long")
+    return sides.agg(
+        F.coalesce(F.sum("l"), nought).alias("left_rows"),
+        F.coalesce(F.sum("r"), nought).alias("right_rows"),
+        F.lit(len(left.columns)).cast("long").alias("left_columns"),
+        F.lit(len(right.columns)).cast("long").alias("right_columns"),
+        F.lit(",".join(sorted(header_difference(left, right)))).alias("header_difference"),
+    )
+
+
 def shape_check(left: DataFrame, right: DataFrame) -> Shape:
     """Row counts of both sides from one job, headers from the schemas."""
-    counts = (
-        left.select(F.lit(1).alias("l"), F.lit(0).alias("r"))
-        .unionByName(right.select(F.lit(0).alias("l"), F.lit(1).alias("r")))
-        .agg(F.sum("l"), F.sum("r"))
-        .first()
-    )
+    counts = shape_counts(left, right).first()
     return Shape(
-        counts[0] or 0,
-        counts[1] or 0,
+        counts["left_rows"],
+        counts["right_rows"],
         len(left.columns),
         len(right.columns),
         frozenset(header_difference(left, right)),
@@ -79,6 +89,13 @@ def cells_equal(left: Column, right: Column, is_array: bool, ordered_arrays: boo
     return left.eqNullSafe(right)
 
 
+def require_unique(df: DataFrame, key: Sequence[str], side: str) -> None:
+    """Rows with one key would pair all with all; NULL is a key like any other."""
+    repeated = df.groupBy(*[named(c) for c in key]).count().where(F.col("count") > 1)
+    if not repeated.isEmpty():
+        raise ValueError(f"repeated {', '.join(key)} on the {side}: give order_by to pair its rows by place")
+
+
 def _paired(
     left: DataFrame, right: DataFrame, key: Sequence[str] | None, order_by: Sequence[str] | None, hot_rows: int
 ) -> tuple[DataFrame, DataFrame, list[str]]:
@@ -89,6 +106,8 @@ def _paired(
             [*key, "ordinal"],
         )
     if key:
+        require_unique(left, key, "left")
+        require_unique(right, key, "right")
         return left, right, list(key)
     if not order_by:
         raise ValueError("give a key, or order_by to compare by row position")
@@ -107,9 +126,10 @@ def frame_diff(
 ) -> DataFrame:
     """Differing cells as rows (alignment columns, column, left_value, right_value).
 
-    ``key`` alone aligns rows by a unique key (inner); ``key`` with ``order_by``
-    pairs repeated keys by their place in the group; ``order_by`` alone pairs by
-    row position. Columns found on one side only are left to ``shape_check``.
+    ``key`` alone aligns rows by a unique key (inner; a repeated key is an error);
+    ``key`` with ``order_by`` pairs repeated keys by their place in the group;
+    ``order_by`` alone pairs by row position, and every cell of a row beyond the
+    shorter frame differs. Columns found on one side only are left to ``shape_check``.
     """
     compared = [
         c for c in narrowed(left, include, ignore).columns
@@ -120,7 +140,12 @@ def frame_diff(
         left.select(*[named(c) for c in needed]), right.select(*[named(c) for c in needed]), key, order_by, hot_rows
     )
     b = b.select(*[named(c).alias(f"__r_{c}") for c in b.columns])
-    joined = a.join(b, null_safe_on(a, b, [(c, f"__r_{c}") for c in align]), "inner")
+    by_position = align == [POSITION]
+    joined = a.join(b, null_safe_on(a, b, [(c, f"__r_{c}") for c in align]), "full" if by_position else "inner")
+    one_sided = F.lit(False)
+    if by_position:
+        mine, theirs = named(POSITION), named(f"__r_{POSITION}")
+        one_sided = mine.isNull() | theirs.isNull()
 
     types = {f.name: f.dataType for f in left.schema}
     right_types = {f.name: f.dataType for f in right.schema}
@@ -133,9 +158,10 @@ def frame_diff(
             value_text(mine, types[c]).alias("left_value"),
             value_text(theirs, right_types[c]).alias("right_value"),
         )
-        cells.append(F.when(~same, cell))
+        cells.append(F.when(~same | one_sided, cell))
+    aligned = [F.coalesce(named(c), named(f"__r_{c}")).alias(c) if by_position else named(c) for c in align]
     return joined.select(
-        *[named(c) for c in align], F.inline(F.array_compact(F.array(*cells)))
+        *aligned, F.inline(F.array_compact(F.array(*cells)))
     )
 
 

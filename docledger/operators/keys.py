@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from docledger.functions import named
 from docledger.operators.joins import members
 
-BROADCAST_KEYS = 100_000
-
-
 def common_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Distinct keys present on both sides; NULL matches NULL."""
-    return left.select(named(key)).distinct().intersect(right.select(named(key)).distinct())
+    """Distinct keys present on both sides; NULL matches NULL. One shuffle of tagged keys."""
+    sides = left.select(named(key), F.lit(1).alias("__side")).unionByName(right.select(named(key), F.lit(2).alias("__side")))
+    seen = sides.groupBy(named(key)).agg(F.bit_or("__side").alias("__sides"))
+    return seen.where(F.col("__sides") == 3).select(named(key))
 
 
 def key_union(frames: Sequence[tuple[DataFrame, str]], name: str) -> DataFrame:
@@ -43,13 +42,8 @@ def key_stats(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def restrict_to_first_keys(df: DataFrame, keys: DataFrame, key: str, limit: int) -> DataFrame:
-    """Rows of ``df`` whose key is among the first ``limit`` keys in key order.
-
-    The limit is the size bound of the broadcast; beyond it the join shuffles.
-    """
+    """Rows of ``df`` whose key is among the first ``limit`` keys in key order."""
     first = keys.select(named(key)).distinct().orderBy(named(key)).limit(limit)
-    if limit <= BROADCAST_KEYS:
-        return df.join(F.broadcast(first), key, "left_semi")
     return members(df, first, [key])
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,8 +40,8 @@ def mismatched(details: DataFrame, status: str = "match_status") -> DataFrame:
 
 
 def explode_parts(df: DataFrame, column: str, parts: Column) -> DataFrame:
-    """One row per part, the part replacing ``column``; a NULL list gives no row."""
-    exploded = df.withColumn("__part", F.explode(parts))
+    """One row per part, the part replacing ``column``; a NULL list is one NULL part."""
+    exploded = df.withColumn("__part", F.explode_outer(parts))
     return exploded.select(
         *[F.col("__part").alias(c) if c == column else named(c) for c in df.columns]
     )
@@ -162,17 +161,17 @@ def status_summary(
 
 
 def ingestion_summary(stats: DataFrame, column: str) -> DataFrame:
-    """One row of texts per statistics object in the JSON arrays of ``column``."""
-    rows = stats.select(F.inline(F.from_json(named(column), STATS_SCHEMA)))
+    """One row of texts per statistics object in the JSON arrays of ``column``; malformed JSON fails."""
+    rows = stats.select(F.inline(F.from_json(named(column), STATS_SCHEMA, {"mode": "FAILFAST"})))
     return rows.toDF(*INGESTION_HEADERS)
 
 
 def recon_bundle(details: DataFrame, **options) -> dict[str, DataFrame]:
-    """All reconciliation reports from one persisted pass over the mismatch rows.
+    """All reconciliation reports over the mismatch rows.
 
-    Call ``unpersist`` on the ``mismatch_rows`` entry when the outputs are written.
+    Each is a narrow pass with a small aggregate at most; nothing stays cached.
     """
-    rows = mismatched(details).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = mismatched(details)
     tax = tax_difference_details(rows, **options)
     taxable = taxable_difference_details(rows, **options)
     return {

@@ -69,4 +69,4 @@ def run_comparison(
     only_diff: bool = False,
 ) -> None:
     report = compare_with_file(spark, register, customer_path, spec, override, order_by)
-    write_report(report, output, only_diff)
+    write_report(report, output, only_diff, spec.labels)

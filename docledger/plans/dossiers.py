@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from docledger.functions import named, text_to_real
 from docledger.operators.documents import dossier
 from docledger.operators.framediff import side_by_side
+from docledger.operators.joins import members
 from docledger.operators.keys import common_keys, restrict_to_first_keys
 
 _AMOUNT = "__amount"
@@ -18,14 +19,15 @@ _AMOUNT = "__amount"
 @dataclass(frozen=True)
 class DossierSpec:
     """How a register prints: key, whole-number columns, padded columns, columns
-    left out, the amount that orders a document's rows, and how many documents."""
+    left out, the amount that orders a document's rows, and how many of the common
+    documents to take, in key order: all of them unless ``limit`` is given."""
 
     key: str
     numbers: Sequence[str] = ()
     pads: Mapping[str, int] = field(default_factory=dict)
     skip: Sequence[str] = ()
     order_amount: str | None = None
-    limit: int = 1_000
+    limit: int | None = None
 
 
 # The two dossier layouts.
@@ -33,7 +35,6 @@ PURCHASE = DossierSpec(
     key="Voucher Number",
     numbers=("CGST Amount", "SGST Amount", "IGST Amount"),
     pads={"Vendor Code": 10},
-    limit=10_000,
 )
 SALES = DossierSpec(
     key="Document Number",
@@ -49,13 +50,14 @@ SALES = DossierSpec(
         "Return Filing Month", "Total Document Value",
     ),
     order_amount="Item Taxable Value *",
-    limit=1_000,
 )
 
 
 def common_documents(left: DataFrame, right: DataFrame, spec: DossierSpec) -> tuple[DataFrame, DataFrame]:
-    """Both registers cut to their first common documents."""
+    """Both registers cut to their common documents, or to the first of them."""
     keys = common_keys(left, right, spec.key)
+    if spec.limit is None:
+        return tuple(members(side, keys, [spec.key]) for side in (left, right))
     return tuple(restrict_to_first_keys(side, keys, spec.key, spec.limit) for side in (left, right))
 
 

@@ -75,6 +75,8 @@ def test_parties(spark, ledger):
     found = doc.vendors(ledger, vendor_master).collect()
     assert sorted((r.belnr, r.lifnr) for r in found) == [("01", "L1"), ("01", "L2"), ("02", "L9")]
     without = doc.vendors(ledger.drop("gst_part"), vendor_master).collect()
+    bare = doc.vendors(ledger.drop("gst_part", "lifnr"), vendor_master)
+    assert bare.count() == 0 and bare.columns == doc.vendors(ledger, vendor_master).columns
     assert sorted((r.belnr, r.lifnr) for r in without) == [("01", "L1"), ("02", "L9")]
 
     billing = spark.createDataFrame(
@@ -106,8 +108,10 @@ def headers(spark):
 def test_search(headers):
     assert [r.belnr for r in doc.search(headers, ["RV"], "42").collect()] == ["100042"]
     assert doc.search(headers, ["RV", "SA"], "42").count() == 2
-    assert doc.search(headers, ["RV", "SA"]).count() == 3
-    assert doc.search(headers, ["RV", "SA"], limit=2).collect() == doc.search(headers, ["RV", "SA"], limit=2).collect()
+    assert doc.search(headers, ["RV", "SA"], "").count() == 3
+    assert doc.search(headers, ["RV", "SA"], "\\42").count() == 0
+    sample = doc.sample_documents(headers, ["RV", "SA"], 2)
+    assert sample.count() == 2 and sample.collect() == doc.sample_documents(headers, ["RV", "SA"], 2).collect()
 
 
 def test_search_many(spark, headers):

@@ -21,6 +21,24 @@ def test_positional_diff(spark):
     assert [tuple(c) for c in cells] == [(2, "k", "2", "3")]
 
 
+def test_rows_beyond_the_shorter_frame_differ(spark):
+    left = frame(spark, [(1, "a", 1), (2, "b", None)])
+    right = frame(spark, [(1, "a", 1)])
+    cells = sorted(map(tuple, frame_diff(left, right, order_by=["k"]).collect()), key=str)
+    assert cells == [(2, "k", "2", None), (2, "n", None, None), (2, "v", "b", None)]
+    assert sorted(r.left_value or "-" for r in frame_diff(right, left, order_by=["k"]).collect()) == ["-", "-", "-"]
+
+
+def test_repeated_or_null_keys_never_multiply(spark):
+    for key in (1, None):
+        rows = frame(spark, [(key, "a", 1), (key, "b", 2)])
+        with pytest.raises(ValueError, match="repeated k on the left"):
+            frame_diff(rows, rows, key=["k"])
+        assert frames_equal(rows, rows, key=["k"], order_by=["n"])
+    one = frame(spark, [(None, "a", 1)])
+    assert frames_equal(one, one, key=["k"])
+
+
 def test_repeated_keys_pair_by_place(spark):
     left = frame(spark, [(1, "a", 1), (1, "b", 2), (2, "z", 1)])
     right = frame(spark, [(1, "a", 1), (1, "c", 2), (1, "d", 3), (2, "z", 1)])

@@ -24,15 +24,16 @@ def details(spark):
 
 
 def test_mismatch_explosion(details):
-    parts = sorted((r.id, r.mismatch_fields) for r in reports.mismatch_details(details).collect())
-    assert parts == [(1, "a"), (1, "b"), (2, ""), (2, "a"), (2, "b"), (5, " b"), (5, "a")]
+    parts = sorted((r.id, r.mismatch_fields or "-") for r in reports.mismatch_details(details).collect())
+    assert parts == [(1, "a"), (1, "b"), (2, "-"), (2, "a"), (2, "b"), (3, "-"), (5, " b"), (5, "a")]
+    assert {r.id for r in reports.mismatch_details(details).collect()} == {r.id for r in reports.mismatched(details).collect()}
 
 
 def test_counts_carry_row_ranges(details):
     rows = {r.mismatch_fields: tuple(r)[1:] for r in reports.mismatch_counts(details).collect()}
-    assert rows == {"": (1, 2, 2), " b": (1, 3, 3), "a": (3, 4, 6), "b": (2, 7, 8)}
+    assert rows == {None: (1, 2, 2), "": (1, 3, 3), " b": (1, 4, 4), "a": (3, 5, 7), "b": (2, 8, 9)}
     ordered = reports.ordered(reports.mismatch_details(details), "mismatch_fields", ["id"]).collect()
-    assert [r.mismatch_fields for r in ordered][2:5] == ["a", "a", "a"]
+    assert [r.mismatch_fields for r in ordered][3:6] == ["a", "a", "a"]
 
 
 def test_difference_reports(details):
@@ -73,7 +74,7 @@ def test_error_counts(spark):
         [(1, "[E1] a, b, [E2] c"), (2, "[E1] a, b"), (3, None)], "id int, error_message string"
     )
     rows = {r.error_message: (r.document_count, r.first_row, r.last_row) for r in reports.error_counts(errors).collect()}
-    assert rows == {"[E1] a, b": (2, 2, 3), "[E2] c": (1, 4, 4)}
+    assert rows == {None: (1, 2, 2), "[E1] a, b": (2, 3, 4), "[E2] c": (1, 5, 5)}
 
 
 def test_status_summary(spark):

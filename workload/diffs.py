@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docledger.operators.framediff import frame_diff, narrowed, shape_check, side_by_side
+from docledger.operators.framediff import frame_diff, narrowed, shape_counts, side_by_side
 from docledger.operators.lineage import trace, upstream
 from docledger.operators.snapshots import (
     fingerprint,
@@ -17,10 +17,10 @@ from workload.base import query
 _FIELDS = ("o_custkey", "o_orderstatus", "total", "order_date", "o_orderpriority")
 
 
-def _cells(joined: str, align: str, fields) -> str:
+def _cells(joined: str, align: str, fields, more: str = "") -> str:
     return " union all ".join(
         f"select {align}, '{c}' as \"column\", cast(a.{c} as varchar) as left_value,"
-        f" cast(b.{c} as varchar) as right_value from {joined} where a.{c} is distinct from b.{c}"
+        f" cast(b.{c} as varchar) as right_value from {joined} where a.{c} is distinct from b.{c}{more}"
         for c in fields
     )
 
@@ -45,9 +45,10 @@ def _placed(view: str) -> str:
 @query(
     "frame_diff_select",
     _cells(
-        f"{_placed('orders_old')} a join {_placed('orders_new')} b on a.position = b.position",
-        "a.position",
+        f"{_placed('orders_old')} a full join {_placed('orders_new')} b on a.position = b.position",
+        "coalesce(a.position, b.position) as position",
         ["o_orderstatus", "total"],
+        " or a.position is null or b.position is null",
     ),
 )
 def _frame_diff_select(t):
@@ -60,16 +61,17 @@ def _frame_diff_select(t):
     "frame_shape",
     """
     select (select count(*) from {orders_old}) as left_rows, (select count(*) from {cus}) as right_rows,
-        cast(3 as bigint) as left_columns, cast(12 as bigint) as right_columns
+        cast(3 as bigint) as left_columns, cast(12 as bigint) as right_columns,
+        (select string_agg(c, ',' order by c) from (
+            (select unnest(['o_orderkey', 'o_custkey', 'total']) as c except select column_name from (describe select * from {cus}))
+            union all
+            (select column_name from (describe select * from {cus}) except select unnest(['o_orderkey', 'o_custkey', 'total']))
+        )) as header_difference
     """,
 )
 def _frame_shape(t):
     left = narrowed(t("orders_old"), ["o_orderkey", "o_custkey", "total"], None)
-    shape = shape_check(left, t("cus"))
-    return t.spark.createDataFrame(
-        [(shape.left_rows, shape.right_rows, shape.left_columns, shape.right_columns)],
-        "left_rows long, right_rows long, left_columns long, right_columns long",
-    )
+    return shape_counts(left, t("cus"))
 
 
 @query(
@@ -190,8 +192,7 @@ def _fingerprint(t):
 @query(
     "version_latest",
     """
-    select arg_max(version, row(created_at, version)) as version, arg_max(file_hash, row(created_at, version)) as file_hash
-    from {version_log}
+    select max(version) as version, arg_max(file_hash, version) as file_hash from {version_log}
     """,
 )
 def _version_latest(t):

@@ -60,7 +60,7 @@ def _doc_search_outcome(t):
     """,
 )
 def _doc_sample(t):
-    return doc.search(t("bkpf"), ["RV", "SA"])
+    return doc.sample_documents(t("bkpf"), ["RV", "SA"], 1000)
 
 
 @query(

@@ -23,10 +23,16 @@ _PARTS = f"""
     select * replace (unnest(string_split(mismatch_fields, ',')) as mismatch_fields)
     from (select {_ROWS}, bucket_label from {{details}}
           where match_status = 'Mismatch' and mismatch_fields is not null)
+    union all
+    select * replace (cast(null as varchar) as mismatch_fields)
+    from (select {_ROWS}, bucket_label from {{details}}
+          where match_status = 'Mismatch' and mismatch_fields is null)
 """
 _MESSAGES = """
     select row_id, unnest(string_split(replace(error_message, ', [', chr(1) || '['), chr(1))) as error_message
-    from {errors}
+    from {errors} where error_message is not null
+    union all
+    select row_id, cast(null as varchar) from {errors} where error_message is null
 """
 
 

@@ -33,9 +33,12 @@ def _offsets(parts: DataFrame, amount: str) -> DataFrame:
 
 def with_position(df: DataFrame, order_by: Sequence[str], name: str = "position") -> DataFrame:
     """Global 1-based position in ``order_by`` order, as a long."""
-    laid = checkpoint(
-        df.orderBy(*[named(c) for c in order_by]).withColumn("__id", F.monotonically_increasing_id())
-    )
+    return numbered(df.orderBy(*[named(c) for c in order_by]), name)
+
+
+def numbered(ordered: DataFrame, name: str = "position") -> DataFrame:
+    """1-based place of every row of a frame that has just been sorted, as a long."""
+    laid = checkpoint(ordered.withColumn("__id", F.monotonically_increasing_id()))
     laid = laid.withColumn("__pid", F.shiftright("__id", _ROW_BITS)).withColumn(
         "__row", F.col("__id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     )

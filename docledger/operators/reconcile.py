@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.functions import composite_key, dotted_date, named
+from docledger.operators.joins import members
 from docledger.operators.rollup import Agg, rollup
 
 # Column and label texts of the comparison report.
@@ -134,16 +135,40 @@ def only_differences(report: DataFrame, labels: Labels = Labels()) -> DataFrame:
     return report.where(named(STATUS) != labels.exact)
 
 
+def common_voucher_sums(
+    generated: DataFrame,
+    customer: DataFrame,
+    group: Mapping[str, str],
+    amounts: Sequence[str],
+    key: str,
+    dates: Sequence[str] = (),
+    amount_type: str = "decimal(18,3)",
+) -> DataFrame:
+    """Voucher sums of both sides (column ``side``) for the vouchers both have.
+
+    Each side is read and summed once; which vouchers are common follows from
+    the sums, by one aggregate of their tagged keys.
+    """
+    sides = [
+        voucher_sums(df, group, amounts, dates, amount_type).withColumn("side", F.lit(side))
+        for side, df in (("generated", generated), ("customer", customer))
+    ]
+    both = sides[0].unionByName(sides[1])
+    seen = both.groupBy(named(key)).agg(F.max(F.col("side") == "generated").alias("l"), F.max(F.col("side") == "customer").alias("r"))
+    return members(both, seen.where(F.col("l") & F.col("r")), [key])
+
+
 def voucher_sums(
     df: DataFrame,
     group: Mapping[str, str],
     amounts: Sequence[str],
     dates: Sequence[str] = (),
-    amount_type: str = "float",
+    amount_type: str = "decimal(18,3)",
 ) -> DataFrame:
     """Sums of ``amounts`` by every column of ``group`` ({input: output}).
 
-    Amounts are read as 32-bit reals by default; ``dates`` print as dd.MM.yyyy first.
+    Amounts are decimals by default: sums of reals depend on the order of their
+    rows. ``dates`` print as dd.MM.yyyy first.
     """
     keys = [
         (dotted_date(named(c)) if c in dates else named(c)).alias(out) for c, out in group.items()

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from docledger.operators import documents as doc
 from docledger.operators.keys import common_keys, restrict_to_first_keys
+from docledger.operators.ordering import numbered
+from docledger.sources.files import attach
 from workload.base import query
 
 _KEY = "bukrs, gjahr, belnr"
@@ -285,3 +287,45 @@ def _dossier_all(t):
 def _dossier_common(t):
     keys = common_keys(t("gen"), t("cus"), "doc_no")
     return _dossier(restrict_to_first_keys(t("cus"), keys, "doc_no", 1000))
+
+
+@query(
+    "ledger_ordered",
+    f"""
+    select {_KEY}, buzei, row_number() over (
+        order by bukrs, gjahr, belnr, shkzg desc nulls last, buzei nulls last) as position
+    from {_PAYABLE} l
+    """,
+)
+def _ledger_ordered(t):
+    ledger = doc.ledger_lines(t("bseg"), t("t001"), t("skat"), _chosen(t))
+    return numbered(doc.ledger_order(ledger)).select(*doc.DOC_KEY, "buzei", "position")
+
+
+@query(
+    "summary_ordered",
+    f"""
+    with s as (
+        select b.bukrs, gjahr, belnr, hkont, txt50,
+            cast(sum(case when shkzg = 'S' then cast(cast(dmbtr as float) as double) else 0 end) as float) as debit,
+            cast(sum(case when shkzg = 'H' then cast(cast(dmbtr as float) as double) else 0 end) as float) as credit
+        from {_texted("{bseg}")} group by all)
+    select {_KEY}, cast(debit + credit as double) as both_sides,
+        row_number() over (order by bukrs, gjahr, belnr, debit + credit) as position
+    from s
+    """,
+)
+def _summary_ordered(t):
+    summary = doc.ledger_summary(t("bseg"), t("t001"), t("skat"))
+    total = (F.col("dmbtr_debit_sum") + F.col("dmbtr_credit_sum")).alias("both_sides")
+    return numbered(doc.summary_order(summary)).select(*doc.DOC_KEY, total, "position")
+
+
+@query(
+    "attached_fallback",
+    "select knumv, kschl, cast(kwert as double) as kwert from {prcd}",
+)
+def _attached_fallback(t):
+    """Pricing rows through an attached layer, under the second name of two."""
+    attach({"prcd_elements": t("prcd")}, "layer")
+    return t.spark.table(doc.first_available(t.spark, ["layer_konv", "layer_prcd_elements"])).select("knumv", "kschl", "kwert")

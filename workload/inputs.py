@@ -8,7 +8,7 @@ from docledger.operators.reports import error_counts
 from docledger.plans.comparison import Override, compare_with_file
 from docledger.sources.catalog import conform, rename_columns, rewrite_key, schema_catalog
 from docledger.sources.extract import extract
-from docledger.sources.files import read_delimited, read_staged, task_files
+from docledger.sources.files import read_delimited, read_seed, read_staged, task_files
 from docledger.sources.sinks import write_register
 from workload.base import query
 from workload.reconciliation import _SALES_NAMES, _SALES_SQL, TIES, _side
@@ -224,3 +224,29 @@ def _pad_keys(t):
 def _rewrite_key(t):
     lines = t("gen").select("doc_no", "l_partkey", "l_suppkey", "taxable")
     return rewrite_key(lines, "doc_no", 3, cut=True)
+
+
+@query(
+    "seed_load",
+    """
+    select cast(s_suppkey as varchar) as code, nullif(s_name, 'NA') as "Description", s_nationkey as nation from {supplier}
+    """,
+)
+def _seed_load(t):
+    """A lookup file whose header has blanks, one column of it typed."""
+    path = f"{t.scratch()}/seed"
+    seed = t("supplier").select(
+        F.col("s_suppkey").alias("code"), F.col("s_name").alias(" Description"), F.col("s_nationkey").alias("nation")
+    )
+    write_register(seed, path, "csv")
+    return read_seed(t.spark, path, {"nation": t("supplier").schema["s_nationkey"].dataType})
+
+
+@query("write_once", "select o_orderkey, o_orderpriority from {orders}")
+def _write_once(t):
+    """A second write with mode ``ignore`` leaves what is there."""
+    path = f"{t.scratch()}/once"
+    orders = t("orders").select("o_orderkey", "o_orderpriority")
+    write_register(orders, path)
+    write_register(orders.where("o_orderkey < 0"), path, mode="ignore")
+    return t.spark.read.parquet(path)

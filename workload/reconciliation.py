@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from docledger.functions import composite_key
-from docledger.operators.joins import members
 from docledger.operators.keys import common_keys, distinct_values, key_stats, key_union, restrict_to_first_keys
 from docledger.operators.rollup import Agg, rollup
-from docledger.operators.reconcile import PURCHASE, SALES, STATUS, only_differences, reconcile, voucher_sums
+from docledger.operators.reconcile import PURCHASE, SALES, STATUS, common_voucher_sums, only_differences, reconcile
 from docledger.operators.reports import status_summary
 from docledger.sources.catalog import rename_columns
 from workload.base import query
@@ -191,13 +190,13 @@ _VOUCHERS = {
     """
     with g as (
         select 'generated' as side, strftime(doc_date, '%d.%m.%Y') as "Voucher Date", doc_no as "Voucher Number",
-            gstin as "Voucher Reference", supplier_gstin as "Vendor Code", sum(cast(cgst as float)) as cgst,
-            sum(cast(sgst as float)) as sgst, sum(cast(igst as float)) as igst
+            gstin as "Voucher Reference", supplier_gstin as "Vendor Code", cast(sum(cast(cgst as decimal(18,3))) as double) as cgst,
+            cast(sum(cast(sgst as decimal(18,3))) as double) as sgst, cast(sum(cast(igst as decimal(18,3))) as double) as igst
         from {gen} group by all),
     c as (
         select 'customer' as side, strftime(doc_date, '%d.%m.%Y') as "Voucher Date", doc_no as "Voucher Number",
-            gstin as "Voucher Reference", supplier_gstin as "Vendor Code", sum(cast(cgst as float)) as cgst,
-            sum(cast(sgst as float)) as sgst, sum(cast(igst as float)) as igst
+            gstin as "Voucher Reference", supplier_gstin as "Vendor Code", cast(sum(cast(cgst as decimal(18,3))) as double) as cgst,
+            cast(sum(cast(sgst as decimal(18,3))) as double) as sgst, cast(sum(cast(igst as decimal(18,3))) as double) as igst
         from {cus} group by all),
     k as (select "Voucher Number" from g intersect select "Voucher Number" from c)
     select * from (select * from g union all select * from c)
@@ -205,14 +204,9 @@ _VOUCHERS = {
     """,
 )
 def _voucher_rollup(t):
-    generated, customer = (
-        voucher_sums(t(view), _VOUCHERS, ["cgst", "sgst", "igst"], dates=["doc_date"]) for view in ("gen", "cus")
+    return common_voucher_sums(
+        t("gen"), t("cus"), _VOUCHERS, ["cgst", "sgst", "igst"], "Voucher Number", dates=["doc_date"]
     )
-    keys = rename_columns(common_keys(t("gen"), t("cus"), "doc_no"), _VOUCHERS)
-    both = generated.withColumn("side", F.lit("generated")).unionByName(
-        customer.withColumn("side", F.lit("customer"))
-    )
-    return members(both, keys, ["Voucher Number"])
 
 
 @query("document_types", "select distinct blart from {bkpf}")

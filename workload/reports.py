@@ -10,10 +10,12 @@ from docledger.operators.reports import (
     ingestion_summary,
     mismatch_counts,
     mismatch_details,
+    ordered,
     recon_bundle,
     tax_difference_details,
     taxable_difference_details,
 )
+from docledger.operators.ordering import numbered
 from workload.base import query
 
 _ROWS = """doc_id, line_no, part_id, match_status, mismatch_fields, cast(govt_taxable as double) as govt_taxable,
@@ -169,3 +171,14 @@ def _recon_bundle(t):
 )
 def _ingestion_summary(t):
     return ingestion_summary(t("stats"), "stats")
+
+
+@query(
+    "error_ordered",
+    f"""
+    select row_id, error_message, row_number() over (order by error_message nulls first, row_id) as position
+    from ({_MESSAGES})
+    """,
+)
+def _error_ordered(t):
+    return numbered(ordered(error_details(t("errors")), "error_message", ["row_id"])).select("row_id", "error_message", "position")

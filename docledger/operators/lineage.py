@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named
@@ -47,6 +49,36 @@ def upstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
         seen = seen.unionByName(frontier)
 
 
+def downstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """(start, node, depth): everything that depends on each start, itself at depth 0."""
+    return upstream(edges.select(F.col("parent").alias("child"), F.col("child").alias("parent")), starts)
+
+
+@dataclass(frozen=True)
+class Project:
+    """Models of a project: parents and children by node, table name (schema.name) by node."""
+
+    parents: Mapping[str, Sequence[str]]
+    children: Mapping[str, Sequence[str]]
+    tables: Mapping[str, str]
+
+    @classmethod
+    def from_manifest(cls, text: str) -> Project:
+        """From the JSON of a project manifest; its size is the number of models."""
+        manifest = json.loads(text)
+        nodes = {**manifest.get("nodes", {}), **manifest.get("sources", {})}
+        return cls(
+            manifest.get("parent_map", {}),
+            manifest.get("child_map", {}),
+            {node: f"{of['schema']}.{of['name']}" for node, of in nodes.items()},
+        )
+
+    def edges(self, spark: SparkSession) -> DataFrame:
+        """(child, parent) pairs of the graph."""
+        pairs = [(child, parent) for child, parents in self.parents.items() for parent in parents]
+        return spark.createDataFrame(pairs, "child string, parent string")
+
+
 def walk(parents: Mapping[str, Sequence[str]], node: str) -> list[tuple[str, int]]:
     """(model, depth) depth-first from ``node``, each model once."""
     visited: dict[str, int] = {}

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named, row_hash
+from docledger.sources.files import path_exists
 
 LOG_SCHEMA = "version bigint, file_hash string, message string, created_by string, created_at string"
 _WORDS = 4
@@ -90,8 +91,7 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
 
     Only a log that isn't there counts as empty; any other failure to read it is raised.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/_log")
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if path_exists(spark, f"{root}/_log"):
         log = spark.read.schema(LOG_SCHEMA).json(f"{root}/_log", mode="FAILFAST")
     else:
         log = spark.createDataFrame([], LOG_SCHEMA)

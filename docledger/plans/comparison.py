@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.functions import named
 from docledger.operators.reconcile import ReconcileSpec, reconcile
-from docledger.sources.files import ROW_ORDER, read_borrowed
+from docledger.sources.files import ROW_ORDER, path_exists, read_borrowed
 from docledger.sources.sinks import write_report
 
 
@@ -58,6 +58,30 @@ def compare_with_file(
     )
 
 
+@dataclass(frozen=True)
+class Comparison:
+    """One template of a run: the register, the customer's file, and where the report goes."""
+
+    register: DataFrame
+    customer_path: str
+    spec: ReconcileSpec
+    override: Override
+    order_by: Sequence[str]
+    output: str
+
+
+def run_comparisons(spark: SparkSession, comparisons: Mapping[str, Comparison], only_diff: bool = False) -> list[str]:
+    """Run every template whose customer file is there; returns the names of those that ran."""
+    ran = []
+    for name, each in comparisons.items():
+        if path_exists(spark, each.customer_path):
+            run_comparison(
+                spark, each.register, each.customer_path, each.spec, each.override, each.order_by, each.output, only_diff
+            )
+            ran.append(name)
+    return ran
+
+
 def run_comparison(
     spark: SparkSession,
     register: DataFrame,

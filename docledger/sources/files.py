@@ -79,6 +79,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", all_text: boo
     return reader.csv(path, header=True, sep=sep, inferSchema=not all_text, mode="FAILFAST", multiLine=True, **_QUOTING)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, in whatever store the path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def list_files(spark: SparkSession, root: str, glob: str) -> list[str]:
     """Paths under ``root`` from a listing; no content is read."""
     listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true")

@@ -1,6 +1,6 @@
 import json
 
-from docledger.operators.lineage import matching_rows, trace, upstream, walk
+from docledger.operators.lineage import Project, downstream, matching_rows, trace, upstream, walk
 
 PARENTS = {"s.register": ["s.export", "raw.lines"], "s.export": ["raw.lines"]}
 
@@ -21,6 +21,21 @@ def test_upstream_takes_the_shortest_path_and_ends_on_cycles(spark):
     }
 
 
+def test_project_manifest(spark):
+    manifest = {
+        "nodes": {"model.a": {"schema": "sale", "name": "register"}, "model.b": {"schema": "sale", "name": "export"}},
+        "sources": {"source.c": {"schema": "raw", "name": "lines"}},
+        "parent_map": {"model.a": ["model.b", "source.c"], "model.b": ["source.c"], "source.c": []},
+        "child_map": {"source.c": ["model.a", "model.b"], "model.b": ["model.a"], "model.a": []},
+    }
+    project = Project.from_manifest(json.dumps(manifest))
+    assert project.tables == {"model.a": "sale.register", "model.b": "sale.export", "source.c": "raw.lines"}
+    starts = spark.createDataFrame([("source.c",)], "node string")
+    reached = {r.node: r.depth for r in downstream(project.edges(spark), starts).collect()}
+    assert reached == {"source.c": 0, "model.a": 1, "model.b": 1}
+    assert {n for n, _ in walk(project.children, "source.c")} == set(reached)
+
+
 def tables(spark):
     return {
         "s.register": spark.createDataFrame([("7", "x"), ("8", None), ("7", "x")], "`Document Number` string, v string"),

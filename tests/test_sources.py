@@ -1,6 +1,7 @@
 import datetime
 import json
 import zipfile
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
@@ -8,7 +9,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
 from docledger.operators.reconcile import SALES, STATUS
-from docledger.plans.comparison import Override, compare_with_file, run_comparison
+from docledger.plans.comparison import Comparison, Override, compare_with_file, run_comparison, run_comparisons
 from docledger.sources import catalog as cat
 from docledger.sources import files
 from docledger.sources.excel import read_sheet, read_xlsx, sheet_region
@@ -201,6 +202,15 @@ def test_compare_with_file(spark, tmp_path):
     run_comparison(spark, register, path, SALES, override, ["n"], str(tmp_path / "out"), only_diff=True)
     written = files.read_delimited(spark, str(tmp_path / "out"))
     assert written.count() == 3 and "Mismatched Fields" in written.columns
+    same = replace(SALES, labels=replace(SALES.labels, exact="Same"))
+    templates = {
+        "sales": Comparison(register, path, same, override, ["n"], str(tmp_path / "sales")),
+        "purchase": Comparison(register, str(tmp_path / "missing.csv"), same, override, ["n"], str(tmp_path / "purchase")),
+    }
+    assert run_comparisons(spark, templates, only_diff=True) == ["sales"]
+    labelled = files.read_delimited(spark, str(tmp_path / "sales")).collect()
+    assert len(labelled) == 3 and "Same" not in {r["Matching Status"] for r in labelled}
+    assert not (tmp_path / "purchase").exists()
 
 
 def test_inference_switch(spark, tmp_path):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from docledger.operators.framediff import frame_diff, narrowed, shape_counts, side_by_side
-from docledger.operators.lineage import trace, upstream
+from docledger.operators.lineage import downstream, trace, upstream
 from docledger.operators.snapshots import (
     fingerprint,
     latest_version,
@@ -230,6 +230,20 @@ def _lineage_closure(t):
     return upstream(t("edges"), t("starts"))
 
 
+@query(
+    "lineage_downstream",
+    """
+    with recursive walk(start, node, depth) as (
+        select node, node, 0 from {starts}
+        union all
+        select w.start, e.child, w.depth + 1 from walk w join {edges} e on e.parent = w.node)
+    select start, node, min(depth) as depth from walk group by 1, 2
+    """,
+)
+def _lineage_downstream(t):
+    return downstream(t("edges"), t("starts"))
+
+
 _WANTED = "select lpad(cast(o_orderkey as string), 10, '0') from {orders} where o_orderpriority = '1-URGENT'"
 
 

@@ -10,16 +10,18 @@ before its sets are compared exactly, so the filters are intersected first.
 1. One pass counts shingles in a sketch of fixed size (counters, not rows) and
    gives every document its set size and a digest of its set. Equal sets are one
    node from here on, so groups of exact copies cost nothing.
-2. A second pass emits the prefixes. Rows of one shingle meet, sorted by set
-   size; lone ones, most of them, go no further. Within a shingle each node is
-   paired with one pivot of a fitting size, not with all others.
-3. Pivot pairs that share a good part of their prefixes are compared, and
-   joined nodes form first components. In a dense group this takes a pair a
-   node.
-4. Every other pair of nodes that share a shingle, have fitting sizes and are
-   in different first components is a candidate under that order. Pairs that are
-   candidates under all orders are compared, so no link between components is
-   lost. Components of all links are the result.
+2. A second pass emits the prefixes, each shingle with its place in the order.
+   Rows of one shingle meet, sorted by set size; lone ones, most of them, go no
+   further. Two sets can only be similar enough if, after the places of the
+   first shingle they share, both have enough left, and if their sizes fit.
+3. Within a shingle each node is paired with a few of its neighbours, not with
+   all. Connected neighbours are families. A family's sets, each once, come to
+   one task, which finds all its links; what it hands over is a forest. A
+   family beyond ``FAMILY_NODES`` or ``FAMILY_SHINGLES`` is not gathered: its
+   neighbours are compared pair by pair, and all its other pairs below.
+4. Every pair of nodes of different families that share a shingle and fit is a
+   candidate under that order. Pairs that are candidates under all orders are
+   compared, so no link is lost. Components of all links are the result.
 
 Set comparison is exact on 64-bit hashes of the shingles. Nodes are 64-bit
 digests; a second digest checks them, and two sets with one digest raise.
@@ -55,7 +57,9 @@ SKETCH_BITS = 22
 SLICES = 16
 MERGED_AT_ONCE = 64
 BROADCAST_NODES = 1_000_000
-PIVOT_SHARE = 0.3
+FAMILY_NODES = 4_000
+FAMILY_SHINGLES = 4_000_000
+NEIGHBOURS = (1, 2, 4)
 
 _KEYS = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)]
 _DIGEST, _CHECK = np.uint64(0x1D8E4E27C47D124F), np.uint64(0xEB44ACCAB455D165)
@@ -155,7 +159,7 @@ def _prefixes(width: int, percent: int, orders: int, shared_classes, bits: int):
         shift = np.uint64(64 - bits)
         seen: set[int] = set()
         for batch in batches:
-            which, keys, nodes, sizes = [], [], [], []
+            which, keys, nodes, sizes, places = [], [], [], [], []
             for data in utf8_rows(batch.column("text")):
                 shingles = shingle_set(data, width)
                 n = len(shingles)
@@ -169,14 +173,15 @@ def _prefixes(width: int, percent: int, orders: int, shared_classes, bits: int):
                 length = prefix_length(n, percent)
                 for k in range(orders):
                     key = rank | (mixed(shingles ^ _KEYS[k]) >> np.uint64(9))
-                    key = np.partition(key, length - 1)[:length] if length < n else key
+                    key = np.sort(np.partition(key, length - 1)[:length] if length < n else key)
+                    places.append(np.arange(length, dtype=np.int32))
                     which.append(np.full(length, k, dtype=np.int8))
                     keys.append(key.view(np.int64))
                     nodes.append(np.full(length, node, dtype=np.int64))
                     sizes.append(np.full(length, n, dtype=np.int32))
             if keys:
                 yield pa.RecordBatch.from_pydict(
-                    {"k": np.concatenate(which), "key": np.concatenate(keys), "node": np.concatenate(nodes), "n": np.concatenate(sizes)}
+                    {"k": np.concatenate(which), "key": np.concatenate(keys), "node": np.concatenate(nodes), "n": np.concatenate(sizes), "place": np.concatenate(places)}
                 )
 
     return emit
@@ -204,66 +209,102 @@ def _same(rows: dict[str, np.ndarray]) -> np.ndarray:
     return (rows["key"][1:] == rows["key"][:-1]) & (rows["k"][1:] == rows["k"][:-1])
 
 
+def _fitting(rows: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, percent: int) -> np.ndarray:
+    """Of pairs of rows of one shingle, left not larger: whether sizes and places allow a link."""
+    a, b = rows["n"][left].astype(np.int64), rows["n"][right].astype(np.int64)
+    needed = (percent * (a + b) + 99 + percent) // (100 + percent)
+    return np.minimum(a - rows["place"][left], b - rows["place"][right]) >= needed
+
+
 def _met(percent: int):
-    """Rows of shingles that two nodes or more have (b null), and each such row with its pivot (b)."""
+    """Rows of shingles that two nodes or more have, with the neighbours that fit."""
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["k", "key", "node", "n"]):
+        for rows in _groups(batches, ["k", "key", "node", "n", "place"]):
             again = np.concatenate(([False], _same(rows) & (rows["node"][1:] == rows["node"][:-1])))
             rows = {c: v[~again] for c, v in rows.items()}
             same = _same(rows)
             many = np.concatenate((same, [False])) | np.concatenate(([False], same))
             rows = {c: v[many] for c, v in rows.items()}
-            if not len(rows["key"]):
+            total = len(rows["key"])
+            if not total:
                 continue
-            first = np.concatenate(([True], ~_same(rows)))
-            pivot = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-            # Sizes ascend in a shingle; a row too large for its pivot starts the next one.
-            while True:
-                apart = rows["n"][pivot].astype(np.int64) * 100 < rows["n"].astype(np.int64) * percent
-                fresh = apart & ~np.concatenate(([False], apart[:-1] & (pivot[1:] == pivot[:-1])))
-                if not fresh.any():
-                    break
-                pivot = np.maximum(pivot, np.maximum.accumulate(np.where(fresh | first, np.arange(len(first)), 0)))
-            b = rows["node"][pivot]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "k": pa.array(rows["k"]), "key": pa.array(rows["key"]), "node": pa.array(rows["node"]), "n": pa.array(rows["n"]),
-                    "pivot": pa.array(b, mask=b == rows["node"]),
-                }
-            )
+            group = np.concatenate(([0], np.cumsum(~_same(rows))))
+            out = {c: pa.array(v) for c, v in rows.items()}
+            for step in NEIGHBOURS:
+                right = np.arange(min(step, total), total)
+                fits = (group[right - step] == group[right]) & _fitting(rows, right - step, right, percent)
+                other = np.zeros(total, dtype=np.int64)
+                none = np.ones(total, dtype=bool)
+                other[right[fits]] = rows["node"][right[fits] - step]
+                none[right[fits]] = False
+                out[f"next_{step}"] = pa.array(other, mask=none)
+            yield pa.RecordBatch.from_pydict(out)
 
     return meet
 
 
 def _crossing(percent: int, most: int = 1 << 18):
-    """All pairs of nodes of one shingle with fitting sizes and different components."""
+    """All pairs of nodes of one shingle that fit and are in different families."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["k", "key", "node", "n", "part"]):
-            same = _same(rows)
+        for rows in _groups(batches, ["k", "key", "node", "n", "place", "part"]):
             total = len(rows["key"])
-            group = np.concatenate(([0], np.cumsum(~same)))
+            group = np.concatenate(([0], np.cumsum(~_same(rows))))
             left = np.arange(total)
             step = 0
-            size, part, node = rows["n"].astype(np.int64), rows["part"], rows["node"]
+            part, node = rows["part"], rows["node"]
             while len(left):
                 step += 1
                 left = left[left + step < total]
                 right = left + step
-                near = (group[left] == group[right]) & (size[left] * 100 >= size[right] * percent)
+                near = (group[left] == group[right]) & (rows["n"][left].astype(np.int64) * 100 >= rows["n"][right].astype(np.int64) * percent)
                 left, right = left[near], right[near]
-                fit = part[left] != part[right]
-                a, b = node[left[fit]], node[right[fit]]
+                apart = part[left] != part[right]
+                x, y = left[apart], right[apart]
+                fits = _fitting(rows, x, y, percent)
+                x, y = x[fits], y[fits]
+                a, b, k = node[x], node[y], rows["k"][x]
                 for start in range(0, len(a), most):
-                    x, y = a[start : start + most], b[start : start + most]
-                    yield pa.RecordBatch.from_pydict(
-                        {"a": np.minimum(x, y), "b": np.maximum(x, y), "k": rows["k"][left[fit]][start : start + most]}
-                    )
+                    some = slice(start, start + most)
+                    yield pa.RecordBatch.from_pydict({"a": np.minimum(a[some], b[some]), "b": np.maximum(a[some], b[some]), "k": k[some]})
 
     return cross
 
 
+def _resolved(percent: int):
+    """All links of a family, as a forest: each set is compared with all others at once."""
+
+    def resolve(table: pa.Table) -> pa.Table:
+        nodes = table["node"].to_numpy()
+        sets = table["shingles"].combine_chunks()
+        sets = sets.chunk(0) if isinstance(sets, pa.ChunkedArray) else sets
+        offsets = np.asarray(sets.offsets)
+        ids = np.unique(sets.values.to_numpy()[offsets[0] : offsets[-1]], return_inverse=True)[1]
+        starts = offsets[:-1] - offsets[0]
+        sizes = np.diff(offsets)
+        label = np.arange(len(nodes))
+        mark = np.zeros(int(ids.max()) + 1, dtype=np.int32)
+        a, b = [], []
+        for i in range(len(nodes)):
+            if (label == label[i]).all():
+                break
+            own = ids[starts[i] : starts[i] + sizes[i]]
+            mark[own] = 1
+            shared = np.add.reduceat(mark[ids], starts)
+            mark[own] = 0
+            linked = shared * 100 >= (sizes + sizes[i] - shared) * percent
+            for other in np.unique(label[linked]):
+                if other != label[i]:
+                    at = int(np.flatnonzero(linked & (label == other))[0])
+                    a.append(nodes[i])
+                    b.append(nodes[at])
+                    label[label == other] = label[i]
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return resolve
+
+
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,21 +314,24 @@ def _sets(width: int):
     return make
 
 
-def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared exactly.
+def _shingles_of(asked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """node and shingles of the nodes ``asked`` for (node, row_id), one row a node.
 
-    Texts of the nodes that are asked for are read again, one text a node. Their
-    ids are broadcast if they were counted and are few, else texts are shuffled.
+    Their texts are read again. The ids are broadcast if they were counted and
+    are few, else texts are shuffled.
     """
-    asked = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
     wanted = asked.select(F.col("row_id").alias("wanted_id"), "node")
     if asked.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
     narrow = docs.select("doc_id", "text")
     texts = narrow.join(wanted, F.xxhash64("doc_id", "text") == F.col("wanted_id")).select("node", "text")
-    sets = written(
-        texts.mapInArrow(_sets(width), "node long, shingles array<long>").dropDuplicates(["node"]), "jaccard-sets"
-    )
+    return texts.mapInArrow(_sets(width), "node long, shingles array<long>")
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough, compared exactly, pair by pair."""
+    asked = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
+    sets = written(_shingles_of(asked, docs, width).dropDuplicates(["node"]), "jaccard-sets")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
@@ -311,30 +355,42 @@ def jaccard_components(
     known = rows.where(F.col("node").isNotNull())
     if known.groupBy("node").agg((F.min("check") != F.max("check")).alias("clash")).where("clash").limit(1).count():
         raise ValueError("two shingle sets have one digest; change the digest's constants")
-    nodes = checkpoint(known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("row_id").alias("row_id")))
+    nodes = checkpoint(known.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.min("row_id").alias("row_id"), F.first("n").alias("n")))
     sketches = measured.where(F.col("slice").isNotNull()).select("slice", "task", "counts")
     classes = spark.sparkContext.broadcast(frequency_classes(sketches, bits))  # fixed size
     index = docs.select("text").mapInArrow(
-        _prefixes(width, percent, orders, classes, bits), "k tinyint, key long, node long, n int"
+        _prefixes(width, percent, orders, classes, bits), "k tinyint, key long, node long, n int, place int"
     )
     sort = ["k", "key", "n", "node"]
+    columns = "k tinyint, key long, node long, n int, place int"
+    nexts = [f"next_{step}" for step in NEIGHBOURS]
     met = written(
         index.repartition("k", "key").sortWithinPartitions(*sort).mapInArrow(
-            _met(percent), "k tinyint, key long, node long, n int, pivot long"
+            _met(percent), ", ".join([columns, *[f"{c} long" for c in nexts]])
         ),
         "jaccard-index",
     )
-    enough = F.lit(PIVOT_SHARE * orders) * (F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1)
-    pivots = checkpoint(
-        met.where(F.col("pivot").isNotNull())
-        .groupBy(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
-        .agg(F.count("*").alias("support"), F.min("n").alias("n"))
-        .where(F.col("support") >= enough).select("a", "b")
+    beside = met.select("node", F.explode(F.array_compact(F.array(*nexts))).alias("other"))
+    near = checkpoint(beside.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    family = components(near).withColumnRenamed("label", "family")
+    sized = family.join(nodes, "node")
+    sizes = sized.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    small = (F.col("members") <= FAMILY_NODES) & (F.col("shingles") <= FAMILY_SHINGLES)
+    placed = checkpoint(sized.join(sizes.select("family", small.alias("small")), "family").select("node", "row_id", "family", "small"))
+    gathered = placed.where("small")
+    found = _shingles_of(gathered.select("node", "row_id"), docs, width).dropDuplicates(["node"])
+    inside = checkpoint(
+        found.join(gathered.select("node", "family"), "node").groupBy("family").applyInArrow(_resolved(percent), "a long, b long")
     )
-    linked = _linked(pivots, docs, nodes, width, percent)
-    first = components(linked).select(F.col("node").alias("member"), F.col("label"))
-    parted = met.select("k", "key", "node", "n").join(first, F.col("node") == F.col("member"), "left").select(
-        "k", "key", "node", "n", F.coalesce("label", "node").alias("part")
+    large = placed.where(~F.col("small")).select(F.col("node").alias("a"))
+    apart = checkpoint(near.join(large, "a"))
+    linked = inside.unionByName(_linked(apart, docs, nodes, width, percent)) if apart.limit(1).count() else inside
+    within = placed.where("small").select(F.col("node").alias("member"), F.col("family").alias("label"))
+    if apart.limit(1).count():
+        joined = components(linked).join(large.withColumnRenamed("a", "node"), "node").select(F.col("node").alias("member"), "label")
+        within = within.unionByName(joined)
+    parted = met.select("k", "key", "node", "n", "place").join(within, F.col("node") == F.col("member"), "left").select(
+        "k", "key", "node", "n", "place", F.coalesce("label", "node").alias("part")
     )
     crossing = parted.repartition("k", "key").sortWithinPartitions(*sort).mapInArrow(
         _crossing(percent), "a long, b long, k tinyint"
@@ -342,9 +398,8 @@ def jaccard_components(
     every = F.expr("bit_or(shiftleft(1, cast(k as int)))")
     candidates = checkpoint(
         crossing.groupBy("a", "b").agg(every.alias("under")).where(F.col("under") == (1 << orders) - 1).select("a", "b")
-        .join(pivots, ["a", "b"], "left_anti")
     )
-    links = linked.unionByName(_linked(candidates, docs, nodes, width, percent))
+    links = linked.unionByName(_linked(candidates, docs, nodes, width, percent)) if candidates.limit(1).count() else linked
     joined = components(links)
     named = nodes.join(joined, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))
     names = named.groupBy("label").agg(F.min("first_id").alias("component_id"))

@@ -73,6 +73,16 @@ def test_shuffled_texts_give_the_same(spark, monkeypatch):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=key) == sorted(brute(rows, 4, 85), key=key)
 
 
+@pytest.mark.parametrize(("nodes", "shingles"), [(3, 10**9), (10**9, 200), (1, 1)])
+def test_large_families_give_the_same(spark, monkeypatch, nodes, shingles):
+    monkeypatch.setattr(jaccard, "FAMILY_NODES", nodes)
+    monkeypatch.setattr(jaccard, "FAMILY_SHINGLES", shingles)
+    rows = corpus()
+    found = jaccard.jaccard_components(documents(spark, rows), bits=12)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=key) == sorted(brute(rows, 4, 85), key=key)
+
+
 def test_one_of_each(spark):
     rows = corpus()
     docs = documents(spark, rows)

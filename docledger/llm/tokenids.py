@@ -20,7 +20,7 @@ space always begins a new pre-token, so pieces cut there have the same ids alone
 as in the text. Pieces recur, so their ids are kept in a bounded table.
 
 Defined results: null and empty texts hold the end id alone; null ids come
-first; rows with equal ids go by text, repeated rows are written each; an empty
+first; rows with equal ids go by a hash of the text, repeated rows are written each; an empty
 table gives an empty file; further columns are ignored.
 """
 
@@ -186,11 +186,12 @@ def write_token_ids(
         if entries:
             yield flush()
 
-    order = [F.asc_nulls_first("doc_id"), F.asc_nulls_first("text")]
-    narrow = docs.select("doc_id", "text")
+    # Bounds of ranges are samples of the order's columns, so the text itself is only the last resort within a task.
+    order = [F.asc_nulls_first("doc_id"), F.asc("text_hash")]
+    narrow = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     ranged = narrow.repartitionByRange(shards, *order) if shards else narrow.repartitionByRange(*order)
     schema = f"shard int, block int, dict_sha256 string, first_id {kind}, last_id {kind}, entries array<{entry}>, payload binary"
-    ranged.sortWithinPartitions(*order).mapInArrow(blocks, schema).write.parquet(f"{folder}/blocks")
+    ranged.sortWithinPartitions(*order, "text").mapInArrow(blocks, schema).write.parquet(f"{folder}/blocks")
     written = spark.read.parquet(f"{folder}/blocks")
     last = F.element_at("entries", -1)
     totals = written.groupBy("shard").agg(F.max(last["start"] + last["n_tokens"]).alias("n_tokens"))

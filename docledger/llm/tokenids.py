@@ -30,6 +30,7 @@ import hashlib
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -50,7 +51,9 @@ KNOWN_PIECES = 500_000
 
 _ENTRY = "struct<doc_id:{kind},offset:int,length:int,n_tokens:bigint,start:bigint>"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
-_WHITE = re.compile(r"\s\s|\A\s|\s\Z")
+_WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+_OTHER_WHITE = [c for c in _WHITE if c.isascii() and c != " "]
+_WIDE_WHITE = [c for c in _WHITE if not c.isascii()]
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 
@@ -65,12 +68,14 @@ class PieceEncoder:
         self.width = id_width(self.tokenizer)
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def pieces(self, text: str) -> list[str]:
         if any(s in text for s in self.special):
             return [text]
-        if _WHITE.search(text):
+        if _uneven(text):
             cut = _CUT.split(text)
             return cut[:1] + [" " + p for p in cut[1:]]
         return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
@@ -78,14 +83,31 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(text) for text in texts]
         if len(self.known) > KNOWN_PIECES:
-            self.known.clear()
-        known = self.known
-        new = list({p for pieces in cut for p in pieces if p not in known})
-        for start in range(0, len(new), 10_000):
-            some = new[start : start + 10_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, dtype=self.kind).tobytes()
-        return [b"".join([known[p] for p in pieces]) for pieces in cut]
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        missing: set[str] = set()
+        for pieces in cut:
+            missing.update(set(pieces).difference(known))
+        new = []
+        for piece in missing:
+            found = older.get(piece)
+            if found is None:
+                new.append(piece)
+            else:
+                known[piece] = found
+        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
+            known[piece] = array(self.code, found.ids).tobytes()
+        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+
+
+def _uneven(text: str) -> bool:
+    """Whether a blank may stand beside other white space, or at an end of the text."""
+    if not text or text[0].isspace() or text[-1].isspace() or "  " in text:
+        return True
+    for c in _OTHER_WHITE:
+        if c in text and (c + " " in text or " " + c in text):
+            return True
+    return not text.isascii() and any(c in text for c in _WIDE_WHITE)
 
 
 def id_width(tokenizer) -> int:

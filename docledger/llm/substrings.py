@@ -10,9 +10,10 @@ Most minimisers occur once in the corpus, and none of their windows can repeat.
 So narrow rows, minimiser and text, are counted first, and only windows whose
 minimiser occurs again are packed. Equal texts are one text with a number of
 copies from the start: all their windows repeat. A minimiser with more than
-``HOT`` places would fill one bucket with strings that differ at their ends;
-its windows go one by one as hashes, counted by an ordinary aggregate whose key
-is the window, so they spread over all tasks and combine before the shuffle.
+``HOT`` places would fill one bucket. Its runs of windows go as hashes instead:
+equal runs, as inside a passage that many texts share, combine to one with a
+count before the shuffle, and the windows of the different ones are counted by
+an ordinary aggregate whose key is the window, so they spread over all tasks.
 
 Texts are shuffled once; that exchange serves the count, the packing and the
 removal, as one plan without a checkpoint between them.
@@ -27,6 +28,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +40,7 @@ from docledger.llm.words import utf8_rows, window_hashes, word_hashes, word_span
 
 WINDOW = 35
 SEED_WORDS = 8
-HOT = 1_000
+HOT = 5_000  # strings in a bucket: under two megabytes
 MOST_WINDOWS = 512
 _BLANK = np.uint8(0x20)
 
@@ -108,7 +111,7 @@ def _normal(data: np.ndarray) -> np.ndarray:
 
 
 def _packed(window: int, seed_words: int):
-    """Super-k-mers of the asked minimisers: key, t, first window, words."""
+    """Super-k-mers of the asked minimisers: key, t, first window, words with a blank after each."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,10 +126,10 @@ def _packed(window: int, seed_words: int):
                 least, _ = minimisers(words, window, seed_words)
                 first, after = _runs(least)
                 among = np.flatnonzero(np.isin(least[first].view(np.int64), wanted.to_numpy()))
-                whole = data.tobytes()
+                whole = data.tobytes() + b" "
                 for at in among:
                     a, b = first[at], after[at]
-                    out["words"].append(whole[starts[a] : ends[b + window - 2]])
+                    out["words"].append(whole[starts[a] : ends[b + window - 2] + 1])
                 out["key"].append(least[first[among]].view(np.int64))
                 out["t"].append(np.full(len(among), ids[row]))
                 out["first"].append(first[among].astype(np.int32))
@@ -138,28 +141,32 @@ def _packed(window: int, seed_words: int):
     return pack
 
 
-def _single(window: int, seed_words: int):
-    """Windows of the hot minimisers, one by one: key, window hash, t, place."""
+def _hot_runs(window: int, seed_words: int):
+    """Runs of windows of the hot minimisers: key, digest of the run, t, first window, window hashes."""
 
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, asked = batch.column("t").to_numpy(), batch.column("hot")
-            out = {name: [] for name in ("key", "hash", "t", "first")}
+            out = {name: [] for name in ("key", "run", "t", "first", "hashes")}
             for row, data in enumerate(utf8_rows(batch.column("text"))):
-                wanted = asked[row].values
-                if wanted is None or not len(wanted):
-                    continue
                 words = word_hashes(data)[2]
                 least, _ = minimisers(words, window, seed_words)
-                among = np.flatnonzero(np.isin(least.view(np.int64), wanted.to_numpy()))
-                out["key"].append(least[among].view(np.int64))
-                out["hash"].append(window_hashes(words, window)[among].view(np.int64))
+                first, after = _runs(least)
+                among = np.flatnonzero(np.isin(least[first].view(np.int64), asked[row].values.to_numpy()))
+                hashes = window_hashes(words, window).view(np.int64)
+                for at in among:
+                    part = hashes[first[at] : after[at]]
+                    out["hashes"].append(part)
+                    out["run"].append(int.from_bytes(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), "little", signed=True))
+                out["key"].append(least[first[among]].view(np.int64))
                 out["t"].append(np.full(len(among), ids[row]))
-                out["first"].append(among.astype(np.int32))
-            if out["key"]:
-                yield pa.RecordBatch.from_pydict({name: np.concatenate(parts) for name, parts in out.items()})
+                out["first"].append(first[among].astype(np.int32))
+            yield pa.RecordBatch.from_pydict(
+                {name: np.concatenate(out[name]) for name in ("key", "t", "first")}
+                | {"run": pa.array(out["run"], pa.int64()), "hashes": pa.array(out["hashes"], pa.list_(pa.int64()))}
+            ).select(["key", "run", "t", "first", "hashes"])
 
-    return windows
+    return runs
 
 
 def _counted(window: int, at_once: int = 4_000):
@@ -187,18 +194,23 @@ def _counted(window: int, at_once: int = 4_000):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_buckets(batches):
             keys, texts, firsts = (table[c].to_numpy() for c in ("key", "t", "first"))
-            strings = [np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in table["words"]]
-            hashes = [window_hashes(word_hashes(s)[2], window) for s in strings]
-            sizes = np.array([len(h) for h in hashes])
-            row = np.repeat(np.arange(len(sizes)), sizes)
-            every = np.concatenate(hashes)
+            packed = table["words"].combine_chunks()
+            packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
+            offsets = np.frombuffer(packed.buffers()[1], dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1]
+            data = np.frombuffer(packed.buffers()[2], dtype=np.uint8)[offsets[0] : offsets[-1]]
+            starts, _, words = word_hashes(data)
+            of = np.searchsorted(offsets - offsets[0], starts, "right") - 1  # the string of each word
+            every = window_hashes(words, window)
+            whole = of[: len(every)] == of[window - 1 :]
+            at = np.flatnonzero(whole)
+            every, row = every[at], of[at]
+            place = at - np.searchsorted(of, np.arange(len(keys)))[row]
             order = np.lexsort((every, keys[row]))
             same = np.concatenate(([False], (every[order][1:] == every[order][:-1]) & (keys[row][order][1:] == keys[row][order][:-1])))
             group = np.cumsum(~same) - 1
             total = np.bincount(group)
             repeated = np.zeros(len(every), dtype=bool)
             repeated[order] = total[group] >= 2
-            place = np.arange(len(every)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             at = np.flatnonzero(repeated)
             if not len(at):
                 continue
@@ -256,6 +268,17 @@ def _removed(window: int):
     return remove
 
 
+def _matched(rows: DataFrame, unique: DataFrame, *on: str) -> DataFrame:
+    """Rows with the columns of the one row that has their key.
+
+    Null-safe equality gives both sides an exchange of their own, so adaptive
+    execution can split a key that very many rows have.
+    """
+    side = unique.withColumnsRenamed({c: f"{c}__" for c in on})
+    both = reduce(and_, [rows[c].eqNullSafe(side[f"{c}__"]) for c in on])
+    return rows.join(side, both).drop(*[f"{c}__" for c in on])
+
+
 def without_repeats(
     docs: DataFrame, window: int = WINDOW, seed_words: int = SEED_WORDS, hot: int = HOT, with_text: bool = False
 ) -> DataFrame:
@@ -265,7 +288,8 @@ def without_repeats(
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("t"))
-    clash = F.assert_true(F.min(F.md5("text")) == F.max(F.md5("text")), "two texts have one digest")
+    check = F.xxhash64(F.lit(1), F.col("text"))
+    clash = F.assert_true(F.min(check) == F.max(check), "two texts have one digest")
     texts = (
         rows.select("t", "text").groupBy("t")
         .agg(F.min("text").alias("text"), F.count("*").alias("copies"), clash.alias("sound"))
@@ -273,20 +297,33 @@ def without_repeats(
     )
     placed = texts.mapInArrow(_places(window, seed_words), "key long, t long, places long")
     totals = placed.groupBy("key").agg(F.sum("places").alias("total"), F.count("*").alias("texts")).where(F.col("total") > 1)
-    met = placed.select("key", "t").join(totals.select("key", "total"), "key")
+    met = _matched(placed.select("key", "t"), totals.select("key", "total"), "key")
     asked = met.groupBy("t").agg(
         F.collect_list(F.when(F.col("total") <= hot, F.col("key"))).alias("cold"),
         F.collect_list(F.when(F.col("total") > hot, F.col("key"))).alias("hot"),
     )
     wanted = texts.join(asked, "t")
-    packed = wanted.mapInArrow(_packed(window, seed_words), "key long, t long, first int, words binary")
+    packed = wanted.where(F.size("cold") > 0).mapInArrow(_packed(window, seed_words), "key long, t long, first int, words binary")
     cold = packed.repartition("key").sortWithinPartitions("key").mapInArrow(
         _counted(window), "t long, first int, end int"
     )
-    single = wanted.mapInArrow(_single(window, seed_words), "key long, hash long, t long, first int")
-    often = single.groupBy("key", "hash").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key", "hash")
-    warm = single.join(often, ["key", "hash"]).select("t", "first", (F.col("first") + window).alias("end"))
-    marks = cold.unionByName(warm).groupBy("t").agg(F.collect_list(F.struct("first", "end")).alias("marks"))
+    runs = wanted.where(F.size("hot") > 0).mapInArrow(
+        _hot_runs(window, seed_words), "key long, run long, t long, first int, hashes array<long>"
+    )
+    windows = (
+        runs.groupBy("key", "run").agg(F.first("hashes").alias("hashes"), F.count("*").alias("n"))
+        .select("key", "run", "n", F.posexplode("hashes").alias("place", "hash"))
+    )
+    often = windows.groupBy("key", "hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("key", "hash")
+    again = _matched(windows, often, "key", "hash").groupBy("key", "run").agg(F.collect_list("place").alias("places"))
+    begin = lambda place: F.col("first") + place
+    warm = _matched(runs.select("key", "run", "t", "first"), again, "key", "run").select(
+        "t", F.transform("places", lambda p: F.struct(begin(p).alias("first"), (begin(p) + window).alias("end"))).alias("marks")
+    )
+    marks = (
+        cold.select("t", F.array(F.struct("first", "end")).alias("marks")).unionByName(warm)
+        .groupBy("t").agg(F.flatten(F.collect_list("marks")).alias("marks"))
+    )
     removed = texts.join(marks, "t", "left").mapInArrow(
         _removed(window), "t long, n_words long, n_removed long, kept_sha256 string, kept string"
     )

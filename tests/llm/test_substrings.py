@@ -29,7 +29,7 @@ def corpus():
     return rows
 
 
-@pytest.mark.parametrize("hot", [1_000, 3])
+@pytest.mark.parametrize("hot", [5_000, 3, 0])
 def test_same_words_go_as_by_brute_force(spark, hot):
     rows = corpus()
     found = substrings.without_repeats(documents(spark, rows), hot=hot, with_text=True).collect()

@@ -28,7 +28,9 @@ from docledger.session import checkpoint
 
 SHINGLE_WORDS = 5
 LEAST_PERCENT = 80
-BROADCAST_ROWS = 1_000_000
+BROADCAST_ROWS = 1_000_000  # sketch hashes: 32 bytes each
+BROADCAST_CANDIDATES = 200_000  # documents with the keys of the items to look for
+BROADCAST_ITEMS = 10_000  # items with their shingles
 
 
 def _words(text: Column) -> Column:
@@ -39,9 +41,9 @@ def _key(row_id: Column, text: Column) -> Column:
     return F.xxhash64(row_id, text)
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
+def _small(df: DataFrame, rows: int, most: int) -> DataFrame:
     """The frame, to be broadcast if its rows were counted and are few; else joins shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+    return F.broadcast(df) if rows <= most else df.hint("merge")
 
 
 def _shingle_rows(df: DataFrame, width: int, keep: list[str]) -> DataFrame:
@@ -111,23 +113,21 @@ def contaminated(
     for width in widths:
         shingles = _shingle_rows(probe, width, ["doc_key"])
         hashed = shingles.select("doc_key", F.xxhash64(*[F.col(f"w{i}") for i in range(width)]).alias("hash"))
-        own = _small(sketch.where(F.col("width") == width).drop("width"), sketch_rows)
+        own = _small(sketch.where(F.col("width") == width).drop("width"), sketch_rows, BROADCAST_ROWS)
         hit = hashed.join(own, "hash").select("doc_key", "item_key", "needed", "hash")
         hits = hit if hits is None else hits.unionByName(hit)
     candidates = checkpoint(
         hits.distinct().groupBy("doc_key", "item_key", "needed").agg(F.count("*").alias("hits"))
-        .where(F.col("hits") >= F.col("needed")).select("doc_key", "item_key")
+        .where(F.col("hits") >= F.col("needed")).groupBy("doc_key").agg(F.collect_set("item_key").alias("asked"))
     )
-    rows = candidates.count()
-    item = known.select("item_key", "item_id", "width", "shingles", "n", "lacking")
-    paired = candidates.join(_small(item, known.count()), "item_key")
-    asked = paired.groupBy("doc_key").agg(F.collect_list(F.struct("item_id", "width", "shingles", "n", "lacking")).alias("asked"))
-    suspects = keyed.join(_small(candidates.select("doc_key").distinct(), rows), "doc_key", "left_semi")
-    split = suspects.join(_small(asked, rows), "doc_key").select(
+    # What is asked of a document is a list of item keys; the items' shingles join after the texts are picked.
+    split = keyed.join(_small(candidates, candidates.count(), BROADCAST_CANDIDATES), "doc_key").select(
         "doc_key", "doc_id", _words(F.col("text")).alias("words"), "asked"
     )
     shingled = split.select("doc_key", "doc_id", "asked", *[_distinct_shingles(w).alias(f"has_{w}") for w in widths])
-    each = shingled.select("doc_key", "doc_id", F.explode("asked").alias("a"), *[f"has_{w}" for w in widths])
+    each = shingled.select("doc_key", "doc_id", F.explode("asked").alias("item_key"), *[f"has_{w}" for w in widths])
+    item = known.select("item_key", F.struct("item_id", "width", "shingles", "n", "lacking").alias("a"))
+    each = each.join(_small(item, known.count(), BROADCAST_ITEMS), "item_key")
     shared = F.lit(0)
     for w in widths:
         shared = F.when(F.col("a.width") == w, F.size(F.array_intersect(F.col("a.shingles"), F.col(f"has_{w}")))).otherwise(shared)
@@ -142,6 +142,6 @@ def without_contaminated(docs: DataFrame, items: DataFrame, words: int = SHINGLE
     """The documents that hold no item, with the columns they came with."""
     found = checkpoint(contaminated(docs, items, words, percent).select("doc_key").distinct())
     return docs.join(
-        _small(found.withColumnRenamed("doc_key", "found_key__"), found.count()),
+        _small(found.withColumnRenamed("doc_key", "found_key__"), found.count(), BROADCAST_CANDIDATES),
         _key(docs["doc_id"], docs["text"]) == F.col("found_key__"), "left_anti",
     )

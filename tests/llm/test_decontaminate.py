@@ -51,7 +51,8 @@ def test_same_pairs_as_brute_force(spark):
 def test_shuffled_join_gives_the_same(spark, monkeypatch):
     docs, items = cases()
     items_frame = spark.createDataFrame(items, "item_id long, text string")
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 0)
+    for bound in ("BROADCAST_ROWS", "BROADCAST_CANDIDATES", "BROADCAST_ITEMS"):
+        monkeypatch.setattr(decontaminate, bound, 0)
     found = decontaminate.contaminated(documents(spark, docs), items_frame)
     assert {(r.doc_id, r.item_id, r.shared, r.n_shingles) for r in found.collect()} == brute(docs, items)
 

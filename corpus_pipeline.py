@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.llm import decontaminate, jaccard, langid, mixing, tokenids
 from docledger.llm.registry import held_out
-from docledger.llm.words import scratch_folder, written
+from docledger.llm.words import scratch_folder, ship_package, written
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model accepts."""
+    ship_package(spark)
     return langid.accepted(docs, langid.fit(docs, ~held_out()))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.llm import chat, decontaminate, jaccard, langid, mixing, quality, secrets, substrings, tokenids, topk
-from docledger.llm.words import scratch_folder
+from docledger.llm.words import scratch_folder, ship_package
 from docledger.operators.ordering import with_position
 
 
@@ -212,7 +212,14 @@ SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    def shipped(build: Callable[[SparkSession, str], DataFrame]):
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            ship_package(spark)
+            return build(spark, folder)
+
+        return run
+
+    return {name: shipped(build) for name, build in QUERIES.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -32,6 +32,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import compress
 from pathlib import Path
 
 import numpy as np
@@ -48,11 +49,13 @@ SAMPLE_BYTES = 8_192  # of a sampled document's ids, for the dictionary alone
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
 KNOWN_PIECES = 500_000
+PIECES_A_LINE = 256
 
 _ENTRY = "struct<doc_id:{kind},offset:int,length:int,n_tokens:bigint,start:bigint>"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _OTHER_WHITE = [c for c in _WHITE if c.isascii() and c != " "]
+_MARKS = {".", ","}
 _WIDE_WHITE = [c for c in _WHITE if not c.isascii()]
 _ENCODERS: dict[str, PieceEncoder] = {}
 
@@ -68,6 +71,8 @@ class PieceEncoder:
         self.width = id_width(self.tokenizer)
         self.kind = np.dtype("<u2" if self.width == 2 else "<u4")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        line_break = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = line_break[0] if len(line_break) == 1 else -1
         self.code = "H" if self.width == 2 else "I"
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -78,26 +83,69 @@ class PieceEncoder:
         if _uneven(text):
             cut = _CUT.split(text)
             return cut[:1] + [" " + p for p in cut[1:]]
-        return text.replace(" ", "\0 ").split("\0") if "\0" not in text else [text]
+        if "\0" in text:
+            return [text]
+        marked = text.replace(" ", "\0 ")
+        if "\n" in text and not any("\n" + c in text or c + "\n" in text for c in _OTHER_WHITE):
+            marked = marked.replace("\n", "\0\n\0")  # a line break alone is a pre-token of its own
+        return marked.split("\0")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [self.pieces(text) for text in texts]
         if len(self.known) > KNOWN_PIECES:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
+        known = self.known
+        found = [list(map(known.get, pieces)) for pieces in cut]
         missing: set[str] = set()
-        for pieces in cut:
-            missing.update(set(pieces).difference(known))
-        new = []
+        for pieces, ids in zip(cut, found, strict=True):
+            missing.update(compress(pieces, [x is None for x in ids]))
+        self.learn(missing)
+        return [
+            b"".join([known[piece] if x is None else x for piece, x in zip(pieces, ids, strict=True)])
+            for pieces, ids in zip(cut, found, strict=True)
+        ]
+
+    def learn(self, missing: set[str]) -> None:
+        """Ids of pieces that are not known yet; a mark after a letter or digit is a pre-token of its own."""
+        known, older = self.known, self.older
+        marked, new = [], set()
         for piece in missing:
-            found = older.get(piece)
-            if found is None:
-                new.append(piece)
+            ids = older.get(piece)
+            if ids is not None:
+                known[piece] = ids
+            elif piece[-1:] in _MARKS and piece[-2:-1].isalnum():
+                marked.append(piece)
+                new.update((piece[:-1], piece[-1]))
             else:
-                known[piece] = found
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            known[piece] = array(self.code, found.ids).tobytes()
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+                new.add(piece)
+        plain, other = [], []
+        for piece in new:
+            if piece not in known:
+                body = piece[1:] if piece[:1] == " " else piece
+                (plain if body.split() == [body] else other).append(piece)
+        self.learn_lines([plain[i : i + PIECES_A_LINE] for i in range(0, len(plain), PIECES_A_LINE)], other)
+        for piece, ids in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True):
+            known[piece] = array(self.code, ids.ids).tobytes()
+        for piece in marked:
+            known[piece] = known[piece[:-1]] + known[piece[-1]]
+
+
+    def learn_lines(self, groups: list[list[str]], other: list[str]) -> None:
+        """Pieces without white space, many to a text: a line break between them is one id of its own.
+
+        Groups whose ids don't fall apart like that go to ``other``.
+        """
+        found = self.tokenizer.encode_batch_fast(["\n".join(g) for g in groups], add_special_tokens=False)
+        for group, ids in zip(groups, found, strict=True):
+            ids = np.array(ids.ids, dtype=self.kind)
+            ends = [*np.flatnonzero(ids.astype(np.int64) == self.line_break).tolist(), len(ids)]
+            if len(ends) != len(group):
+                other.extend(group)
+                continue
+            data, start = ids.tobytes(), 0
+            for piece, end in zip(group, ends, strict=True):
+                self.known[piece] = data[start * self.width : end * self.width]
+                start = end + 1
 
 
 def _uneven(text: str) -> bool:

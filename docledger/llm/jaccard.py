@@ -58,7 +58,8 @@ SLICES = 16
 MERGED_AT_ONCE = 64
 BROADCAST_NODES = 1_000_000
 FAMILY_NODES = 4_000
-FAMILY_SHINGLES = 4_000_000
+FAMILY_SHINGLES = 2_000_000
+DOCUMENTS_AT_ONCE = 500
 NEIGHBOURS = (1, 2, 4)
 
 _KEYS = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)]
@@ -153,12 +154,19 @@ def prefix_length(n, percent: int):
     return n - (percent * n + 99) // 100 + 1
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few documents, as what is made of a document is larger than the document."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
+            yield batch.slice(start, DOCUMENTS_AT_ONCE)
+
+
 def _prefixes(width: int, percent: int, orders: int, shared_classes, bits: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = shared_classes.value
         shift = np.uint64(64 - bits)
         seen: set[int] = set()
-        for batch in batches:
+        for batch in _parts(batches):
             which, keys, nodes, sizes, places = [], [], [], [], []
             for data in utf8_rows(batch.column("text")):
                 shingles = shingle_set(data, width)
@@ -307,7 +315,7 @@ def _resolved(percent: int):
 
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             rows = [shingle_set(data, width).view(np.int64) for data in utf8_rows(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(rows, pa.list_(pa.int64()))})
 

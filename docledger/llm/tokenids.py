@@ -48,7 +48,7 @@ SAMPLE_DOCUMENTS = 1_000
 SAMPLE_BYTES = 8_192  # of a sampled document's ids, for the dictionary alone
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
-KNOWN_PIECES = 500_000
+KNOWN_PIECES = 200_000  # twice that in memory, which idle workers keep
 PIECES_A_LINE = 256
 
 _ENTRY = "struct<doc_id:{kind},offset:int,length:int,n_tokens:bigint,start:bigint>"

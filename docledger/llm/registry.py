@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.llm import chat, decontaminate, jaccard, langid, mixing, quality, secrets, substrings, tokenids, topk
+from docledger.llm import (
+    chat,
+    decontaminate,
+    jaccard,
+    langid,
+    mixing,
+    quality,
+    recipes,
+    secrets,
+    substrings,
+    tokenids,
+    topk,
+)
 from docledger.llm.words import scratch_folder, ship_package
 from docledger.operators.ordering import with_position
 
@@ -195,6 +207,20 @@ with codes as (
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 20
 """
 
+
+
+def op13_recipes(spark: SparkSession, folder: str) -> DataFrame:
+    return recipes.equal_texts(_table(spark, folder, "documents"))
+
+
+OP13_SQL = """
+select doc_id, max(doc_id) over same as keep_id, cast(count(*) over same as bigint) as group_size,
+  row_number() over (partition by coalesce(text, '') order by doc_id desc nulls last) = 1 as kept,
+  sha256(coalesce(text, '')) as text_sha256
+from documents
+window same as (partition by coalesce(text, ''))
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_mixing": op2_mixing,
@@ -206,9 +232,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_tokenids": op10_tokenids,
+    "op13_recipes": op13_recipes,
 }
 
-SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9_topk": OP9_SQL}
+SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9_topk": OP9_SQL, "op13_recipes": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -12,7 +12,9 @@ from docledger.llm import (
     decontaminate,
     jaccard,
     langid,
+    merkle,
     mixing,
+    negatives,
     quality,
     recipes,
     secrets,
@@ -209,6 +211,54 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 
 
 
+def manifest(docs: DataFrame, fan: int = merkle.FAN, levels: int = merkle.LEVELS) -> DataFrame:
+    """Proofs of all rows, folded from leaves of which some lost their line breaks."""
+    touched = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    text = F.when(touched, F.translate("text", "\n", "")).otherwise(F.col("text"))
+    received = merkle.leaf_digest([text if f == "text" else F.col(f) for f in merkle.FIELDS])
+    proofs = merkle.row_proofs(docs, carry={"received": received}, fan=fan, levels=levels)
+    found = proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+        merkle.folded(F.col("received"), F.col("proof")).alias("folded_root"),
+    )
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op11_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    return manifest(_table(spark, folder, "documents"))
+
+
+def op12_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
+OP12_SQL = """
+with codes as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, row_number() over () as r,
+    list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where label is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), pairs as (
+  select q.vec_id as anchor_id, q.r as anchor, q.label = c.label as same, c.vec_id, c.r,
+    cast(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) as bigint) as score
+  from codes q join codes c on q.r <> c.r and len(q.v) = len(c.v)
+  where q.vec_id % 100 = 0
+), positives as (
+  select * from (
+    select *, row_number() over (partition by anchor order by score desc, vec_id nulls last, r) as place from pairs where same)
+  where place <= 5
+), ranked as (
+  select p.anchor_id, p.vec_id as positive_id, n.vec_id as negative_id, p.score as positive_score, n.score as negative_score,
+    row_number() over (partition by p.anchor, p.place order by n.score desc, n.vec_id nulls last, n.r) as rank
+  from positives p join pairs n on p.anchor = n.anchor
+  where not n.same and 30 * p.score <= 100 * n.score and 100 * n.score <= 90 * p.score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score from ranked where rank <= 10
+"""
+
+
 def op13_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return recipes.equal_texts(_table(spark, folder, "documents"))
 
@@ -232,10 +282,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_topk": op9_topk,
     "op10_tokenids": op10_tokenids,
+    "op11_merkle": op11_merkle,
+    "op12_negatives": op12_negatives,
     "op13_recipes": op13_recipes,
 }
 
-SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9_topk": OP9_SQL, "op13_recipes": OP13_SQL}
+SQL: dict[str, str] = {"op2_mixing": OP2_SQL, "op5_decontaminate": OP5_SQL, "op9_topk": OP9_SQL, "op12_negatives": OP12_SQL, "op13_recipes": OP13_SQL}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 def test_names():
     names = [n for n in entry.queries() if n.startswith("op") or n == "pipeline"]
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == [*range(1, 11), 13] and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(registry.oracle_sql()))

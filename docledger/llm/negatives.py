@@ -297,7 +297,9 @@ def _searched(anchors: DataFrame, vectors: DataFrame, counts: tuple[int, int], k
     extra = [] if percent is None else ["positives"]
     columns = ["vec_id", "label", "codes", "dims", "row"]
     left = anchors.select(*columns, *extra, block(anchor_blocks).alias("anchor_block"), each(blocks).alias("block"))
-    right = vectors.select(*columns, block(blocks).alias("block"), each(anchor_blocks).alias("anchor_block"))
+    # Columns of the right side are renamed to themselves: the two sides come from one table, and shared ones would be lost.
+    own = [F.col(c).alias(c) for c in columns]
+    right = vectors.select(*own, block(blocks).alias("block"), each(anchor_blocks).alias("anchor_block"))
     cell = ["dims", "anchor_block", "block"]
     found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInArrow(_cell(k, percent), FOUND)
     ranked = W.partitionBy("anchor_row", "place").orderBy(F.desc("score"), F.asc_nulls_last("vec_id"), "row")

@@ -21,7 +21,7 @@ from docledger.functions import (
     value_text,
 )
 from docledger.operators.joins import look_up, members
-from docledger.operators.ordering import HOT_ROWS, with_ordinal
+from docledger.operators.ordering import with_ordinal
 from docledger.operators.rollup import first_per_key
 
 # Document key, searched ids, and the header columns on show.
@@ -177,6 +177,11 @@ def tax_lines(
     )
 
 
+def tax_order(taxes: DataFrame) -> DataFrame:
+    """Documents in key order, lines ascending."""
+    return taxes.orderBy(*DOC_KEY, F.col("buzei").asc_nulls_last())
+
+
 def tax_codes(
     ledger: DataFrame, taxes: DataFrame, code_texts: DataFrame, procedure: str, language: str = LANGUAGE
 ) -> DataFrame:
@@ -255,6 +260,16 @@ def pricing_summary(pricing: DataFrame, texts: DataFrame, billing: DataFrame | N
     return texted.select("knumv", "kinak", "kschl", "vtext", "kwert_sum")
 
 
+def pricing_order(pricing: DataFrame) -> DataFrame:
+    """Pricing documents in order, their conditions by item."""
+    return pricing.orderBy("knumv", F.col("kposn").asc_nulls_last())
+
+
+def pricing_summary_order(summary: DataFrame) -> DataFrame:
+    """Conditions of a pricing document by inactive flag, then by their sum, smallest first."""
+    return summary.orderBy("knumv", F.col("kinak").asc_nulls_last(), F.col("kwert_sum").asc_nulls_last())
+
+
 # --- parties ----------------------------------------------------------------
 
 
@@ -326,7 +341,6 @@ def dossier(
     pads: Mapping[str, int] | None = None,
     skip: Sequence[str] = (),
     rows_per_page: int = 10_000,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Text of each document for a text diff, as (document, page, text).
 
@@ -349,7 +363,7 @@ def dossier(
         lines += [F.lit(f"\n\t{c.strip().ljust(width)}: "), cell]
     lines.append(F.lit("\n\n"))
 
-    blocks = with_ordinal(df, key, order_by, "__ordinal", hot_rows).select(
+    blocks = with_ordinal(df, key, order_by, "__ordinal").select(
         label.alias("document"),
         (F.floor((F.col("__ordinal") - 1) / rows_per_page) + 1).alias("page"),
         F.struct("__ordinal", F.concat(*lines).alias("block")).alias("__b"),

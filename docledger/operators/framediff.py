@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from docledger.functions import named, value_text
 from docledger.operators.joins import null_safe_on
-from docledger.operators.ordering import HOT_ROWS, with_ordinal, with_position
+from docledger.operators.ordering import with_ordinal, with_position
 
 POSITION = "position"
 
@@ -97,12 +97,12 @@ def require_unique(df: DataFrame, key: Sequence[str], side: str) -> None:
 
 
 def _paired(
-    left: DataFrame, right: DataFrame, key: Sequence[str] | None, order_by: Sequence[str] | None, hot_rows: int
+    left: DataFrame, right: DataFrame, key: Sequence[str] | None, order_by: Sequence[str] | None
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     if key and order_by:
         return (
-            with_ordinal(left, key, order_by, "ordinal", hot_rows),
-            with_ordinal(right, key, order_by, "ordinal", hot_rows),
+            with_ordinal(left, key, order_by),
+            with_ordinal(right, key, order_by),
             [*key, "ordinal"],
         )
     if key:
@@ -122,7 +122,6 @@ def frame_diff(
     include: Sequence[str] | None = None,
     ignore: Sequence[str] | None = None,
     ordered_arrays: bool = True,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Differing cells as rows (alignment columns, column, left_value, right_value).
 
@@ -137,7 +136,7 @@ def frame_diff(
     ]
     needed = list(dict.fromkeys([*(key or ()), *(order_by or ()), *compared]))
     a, b, align = _paired(
-        left.select(*[named(c) for c in needed]), right.select(*[named(c) for c in needed]), key, order_by, hot_rows
+        left.select(*[named(c) for c in needed]), right.select(*[named(c) for c in needed]), key, order_by
     )
     b = b.select(*[named(c).alias(f"__r_{c}") for c in b.columns])
     by_position = align == [POSITION]
@@ -185,11 +184,10 @@ def side_by_side(
     right_order_by: Sequence[str] | None = None,
     left_prefix: str = "left_",
     right_prefix: str = "right_",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The i-th row of a key on the left next to the i-th on the right."""
-    a = with_ordinal(left, [key], order_by, "ordinal", hot_rows)
-    b = with_ordinal(right, [key], right_order_by or order_by, "ordinal", hot_rows)
+    a = with_ordinal(left, [key], order_by)
+    b = with_ordinal(right, [key], right_order_by or order_by)
     a = a.select(
         named(key).alias("Key"), "ordinal", *[named(c).alias(left_prefix + c) for c in left.columns]
     )

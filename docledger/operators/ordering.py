@@ -2,23 +2,26 @@
 
 Spark's window without a partition key sends every row to one task, and a
 window whose key is hot does the same to that key's rows. The helpers here
-range-partition instead, number rows inside each range, and add the offset of
-the ranges before it. The range layout is checkpointed first: a recomputed
-sample could otherwise shift the ranges between the two uses.
+number rows inside ranges and add the offset of the ranges before.
+
+Positions and totals sort the frame; its layout is checkpointed first, as a
+recomputed sample could shift the ranges between their two uses. Ordinals need
+no sorted frame: the bounds of their ranges are constants of the plan, so every
+use of them agrees, and rows are laid out once by (key, range).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docledger.functions import named
-from docledger.operators.joins import null_safe_on
 from docledger.session import checkpoint
 
-HOT_ROWS = 1_000_000
+SAMPLED_PER_RANGE = 20
 _ROW_BITS = 33
 
 
@@ -67,37 +70,67 @@ def running_total(df: DataFrame, order_by: Sequence[str], amount: str, name: str
     )
 
 
+def range_bounds(df: DataFrame, place: Column, ranges: int) -> Column | None:
+    """Up to ``ranges`` - 1 values of ``place``, ascending, that cut its rows evenly, as one constant.
+
+    They come from a sample of bounded size, drawn in one pass over the columns
+    of ``place`` alone. Whatever they are, they only decide how even ranges get.
+    """
+    per = SAMPLED_PER_RANGE
+    sampled = df.select(place.alias("s")).orderBy(F.rand(7)).limit(per * ranges)
+    ordered = sampled.agg(F.sort_array(F.collect_list("s")).alias("s"))
+    kind = T.ArrayType(ordered.schema["s"].dataType.elementType)
+    picked = F.array_distinct(F.filter("s", lambda _, i: i % per == per - 1))
+    text = ordered.select(F.to_json(picked)).first()[0]
+    return F.from_json(F.lit(text), kind) if ranges > 1 and text not in (None, "[]") else None
+
+
+def range_of(place: Column, bounds: Column | None, ranges: int) -> Column:
+    """How many bounds are at or below ``place``, by bisection; it never falls as ``place`` rises."""
+    if bounds is None:
+        return F.lit(0)
+    steps = F.array(*[F.lit(1 << i) for i in range(ranges.bit_length(), -1, -1)])
+    return F.aggregate(
+        steps, F.lit(0), lambda low, step: F.when(F.get(bounds, low + step - 1) <= place, low + step).otherwise(low)
+    )
+
+
 def with_ordinal(
     df: DataFrame,
     key: Sequence[str],
     order_by: Sequence[str],
     name: str = "ordinal",
-    hot_rows: int = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
-    """1-based ordinal inside each key group, in ``order_by`` order.
-
-    Groups up to ``hot_rows`` rows use a plain window. Larger groups would pin
-    one task, so they are spread over range partitions and numbered by offset.
+    """1-based ordinal inside each key group, in ``order_by`` order; NULL is a key like any other.
+
+    Rows are numbered inside (key, range), where ranges cut the order of key and
+    ``order_by`` into as many parts as a shuffle has, so a hot key fills as many
+    tasks as it has ranges. The numbers of its earlier ranges are added from a
+    table of those (key, range) pairs that something comes before. A range can
+    continue only one key of the ranges before it, so that table has no more
+    rows than there are ranges and is broadcast.
     """
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [named(c) for c in key]
     order = [named(c) for c in order_by]
-    plain = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long")
-
-    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > hot_rows)
-    hot = hot.select(*[named(c).alias(f"__hot_{i}") for i, c in enumerate(key)])
-    if hot.isEmpty():
-        return df.withColumn(name, plain)
-
-    pairs = [(c, f"__hot_{i}") for i, c in enumerate(key)]
-    cold_part = df.join(hot, null_safe_on(df, hot, pairs), "left_anti").withColumn(name, plain)
-    hot_part = df.join(hot, null_safe_on(df, hot, pairs), "left_semi")
-
-    placed = with_position(hot_part, [*key, *order_by], "__pos")
-    starts = placed.groupBy(*keys).agg(F.min("__pos").alias("__start"))
-    starts = starts.select("__start", *[named(c).alias(f"__hot_{i}") for i, c in enumerate(key)])
-    hot_part = (
-        placed.join(starts, null_safe_on(placed, starts, pairs))
-        .withColumn(name, F.col("__pos") - F.col("__start") + 1)
-        .select(*[named(c) for c in df.columns], name)
+    place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate([*keys, *order])])
+    bounds = range_bounds(df, place, ranges)
+    parts = df.select(
+        "*",
+        F.struct(*[c.alias(f"c{i}") for i, c in enumerate(keys)]).alias("__k"),
+        range_of(place, bounds, ranges).alias("__range"),
+    )
+    before = Window.partitionBy("__k").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = parts.groupBy("__k", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    offsets = counts.select(
+        F.col("__k").alias("__ok"), F.col("__range").alias("__or"), F.sum("__n").over(before).alias("__before")
+    ).where("__before > 0")
+    within = Window.partitionBy("__k", "__range").orderBy(*order)
+    numbered_rows = parts.withColumn(name, F.row_number().over(within).cast("long"))
+    joined = numbered_rows.join(
+        F.broadcast(offsets), (F.col("__k") == F.col("__ok")) & (F.col("__range") == F.col("__or")), "left"
+    )
+    return joined.withColumn(name, named(name) + F.coalesce("__before", F.lit(0))).select(
+        *[named(c) for c in df.columns], named(name)
     )
-    return cold_part.unionByName(hot_part)

@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named, row_hash
-from docledger.sources.files import path_exists
+from docledger.operators.ordering import with_ordinal
+from docledger.session import checkpoint
+from docledger.sources.commits import LOG, claim_entry, drop_folder, drop_unclaimed, fresh_folder, path_exists
 
-LOG_SCHEMA = "version bigint, file_hash string, message string, created_by string, created_at string"
+LOG_COLUMNS = ("version", "file_hash", "message", "created_by", "created_at", "path")
+LOG_SCHEMA = "version bigint, file_hash string, message string, created_by string, created_at string, path string"
 _WORDS = 4
+BLOCK_LINES = 65_536
 
 
 def _word(digest: Column, i: int) -> Column:
@@ -47,12 +51,39 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
-def file_hashes(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """(path, hash) per file under ``path``, hashed inside the JVM."""
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select("path", F.md5("content").alias("hash"))
+def file_hashes(spark: SparkSession, path: str, glob: str | None = None, block_lines: int = BLOCK_LINES) -> DataFrame:
+    """(path, hash) per file under ``path``: the top of a hash tree over its lines.
+
+    Files are read by ranges and no file is held whole. A line's digest is a
+    leaf, ``block_lines`` digests in order make one of the level above, until one
+    is left; the hash is that of the file's size and the top. Leaves are numbered
+    in ranges of place, so one large file fills as many tasks as it has ranges.
+    Spark lists no empty files, so they have no row.
+    """
+    options = {"recursiveFileLookup": "true"} | ({"pathGlobFilter": glob} if glob else {})
+    place = F.col("_metadata.file_path")
+    listed = spark.read.format("binaryFile").options(**options).load(path)
+    files = listed.select("path", place.alias("file"), F.col("length").cast("string").alias("size"))
+    lines = spark.read.options(lineSep="\n", **options).text(path)
+    leaves = checkpoint(
+        lines.select(
+            place.alias("file"), F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("id"), F.md5(F.col("value").cast("binary")).alias("digest"),
+        )
+    )
+    nodes = with_ordinal(leaves, ["file"], ["start", "id"], "n").select("file", (F.col("n") - 1).alias("n"), "digest")
+    while True:
+        told = F.transform(F.sort_array(F.collect_list(F.struct("n", "digest"))), lambda x: x["digest"])
+        grouped = nodes.groupBy("file", F.floor(F.col("n") / block_lines).alias("block"))
+        alone = (F.col("block") == 0) & (F.count(F.lit(1)) == 1)  # the top already
+        digest = F.when(alone, F.min("digest")).otherwise(F.md5(F.array_join(told, ""))).alias("digest")
+        nodes = checkpoint(grouped.agg(digest).withColumnRenamed("block", "n"))
+        if not (nodes.agg(F.max("n")).first()[0] or 0):
+            break
+    tops = nodes.select("file", F.col("digest").alias("top"))
+    return files.join(tops, "file", "left").select(
+        "path", F.md5(F.concat_ws(":", "size", F.coalesce("top", F.lit("")))).alias("hash")
+    )
 
 
 def snapshot_diff(
@@ -91,8 +122,8 @@ def versions(spark: SparkSession, root: str) -> DataFrame:
 
     Only a log that isn't there counts as empty; any other failure to read it is raised.
     """
-    if path_exists(spark, f"{root}/_log"):
-        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/_log", mode="FAILFAST")
+    if path_exists(spark, f"{root}/{LOG}"):
+        log = spark.read.schema(LOG_SCHEMA).json(f"{root}/{LOG}", mode="FAILFAST")
     else:
         log = spark.createDataFrame([], LOG_SCHEMA)
     return log.orderBy("version")
@@ -106,24 +137,43 @@ def latest_version(log: DataFrame) -> DataFrame:
 def write_version(df: DataFrame, root: str, message: str, created_by: str) -> int | None:
     """Write ``df`` as the next version unless its content equals the latest one.
 
-    Returns the version number, or None when nothing changed. The log row is
-    appended after the data is committed, so a failed job leaves no version.
-    A folder that is there already is never overwritten; times are UTC.
+    Returns the version number, or None when nothing changed. Data goes to a
+    folder of its own; the log entry that names it is the claim on the number
+    and the only thing that makes it a version. Of writers at once each gets a
+    number of its own; one that fails in between leaves no version and is in
+    nobody's way. Times are UTC.
     """
     spark = df.sparkSession
     digest = fingerprint(df).first()["fingerprint"]
-    last = latest_version(versions(spark, root)).first()
-    if last["file_hash"] == digest:
-        return None
-    number = (last["version"] or 0) + 1
-    df.write.mode("errorifexists").parquet(f"{root}/version={number}")
-    now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%d %H:%M:%S")
-    entry = (number, digest, message, created_by, now)
-    spark.createDataFrame([entry], LOG_SCHEMA).coalesce(1).write.mode("append").json(f"{root}/_log")
-    return number
+    path = None
+    while True:
+        last = latest_version(versions(spark, root)).first()
+        if last["file_hash"] == digest:
+            if path is not None:
+                drop_folder(spark, path)
+            return None
+        number = (last["version"] or 0) + 1
+        if path is None:
+            path = fresh_folder(root)
+            df.write.mode("errorifexists").parquet(path)
+        now = datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%d %H:%M:%S")
+        entry = dict(zip(LOG_COLUMNS, (number, digest, message, created_by, now, path.removeprefix(f"{root}/")), strict=True))
+        if claim_entry(spark, root, number, entry):
+            return number
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The rows of a version, of the latest one by default; a number that the log lacks is an error."""
+    log = versions(spark, root)
     if version is None:
-        version = latest_version(versions(spark, root)).first()["version"]
-    return spark.read.parquet(f"{root}/version={version}")
+        version = latest_version(log).first()["version"]
+    row = log.where(F.col("version") == version).agg(F.count(F.lit(1)).alias("n"), F.max("path").alias("path")).first()
+    if not row["n"]:
+        raise ValueError(f"no version {version} in {root}")
+    return spark.read.parquet(f"{root}/{row['path'] or f'version={version}'}")
+
+
+def drop_failed_writes(spark: SparkSession, root: str, older_than: float = 7 * 86_400) -> list[str]:
+    """Delete the data of writes that never became a version and are older than so many seconds."""
+    claimed = [r["path"] for r in versions(spark, root).select("path").distinct().toLocalIterator() if r["path"]]
+    return drop_unclaimed(spark, root, claimed, older_than)

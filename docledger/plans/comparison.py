@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docledger.functions import named
 from docledger.operators.reconcile import ReconcileSpec, reconcile
-from docledger.sources.files import ROW_ORDER, path_exists, read_borrowed
+from docledger.sources.commits import path_exists
+from docledger.sources.files import ROW_ORDER, read_borrowed
 from docledger.sources.sinks import write_report
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
@@ -15,6 +14,7 @@ from pyspark.sql import types as T
 from docledger.functions import named, null_if_na
 from docledger.sources import excel
 from docledger.sources.catalog import conform, rename_columns
+from docledger.sources.records import first_records, header_cells, lines_of, quote_use, records_of
 
 ROW_ORDER = "_row_ord"
 _QUOTING = {"quote": '"', "escape": '"'}
@@ -32,16 +32,12 @@ def with_row_order(df: DataFrame) -> DataFrame:
 
 def read_header(spark: SparkSession, path: str, sep: str = ",") -> list[str]:
     """Column names of a file, without a byte-order mark; repeated names are an error."""
-    first = spark.read.text(path).first()
-    return header_names(first[0] if first else "", sep)
+    return header_names(first_records(spark, [path], sep)[path], sep)
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
-    """The first line of every file by plain path, from one job; a file without lines has none."""
-    place = F.struct(F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
-    lines = spark.read.text(list(paths)).select(F.col("_metadata.file_path").alias("path"), "value", place.alias("at"))
-    found = lines.groupBy("path").agg(F.min_by("value", "at").alias("line"))
-    return {plain_path(r["path"]): r["line"] for r in found.toLocalIterator()}
+def first_lines(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, str]:
+    """The first record of every file by plain path; a file without lines has an empty one."""
+    return {plain_path(path): record for path, record in first_records(spark, paths, sep).items()}
 
 
 def plain_path(path: str) -> str:
@@ -49,7 +45,7 @@ def plain_path(path: str) -> str:
 
 
 def header_names(line: str, sep: str = ",") -> list[str]:
-    headers = next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep), [])
+    headers = header_cells(line, sep)
     repeated = sorted({h for h in headers if headers.count(h) > 1})
     if repeated:
         raise ValueError(f"Duplicate columns found in CSV headers: {repeated}")
@@ -63,26 +59,46 @@ def read_strings(
 
     Every file's header is checked against ``headers`` as it is scanned, and a
     row with more or fewer cells fails the read. Quoted line breaks stay inside
-    their cell; ``multi_line=False`` is for files known to have none, whose
-    large ones can then be split among tasks.
+    their cell, and a large file is read by ranges all the same: files without
+    quotes, as one scan tells, by Spark's own reader, others by their records.
+    ``multi_line=False`` is for files known to have no quoted breaks.
     """
+    lines = lines_of(spark, paths)
     schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    raw = spark.read.option("columnPruning", "false").csv(
-        paths, schema=schema, header=True, sep=sep, mode="FAILFAST", enforceSchema=False, multiLine=multi_line, **_QUOTING
-    )
+    if multi_line and any(quote_use(lines)):
+        raw = text_cells(records_of(lines, sep, headers), headers, sep)
+    else:
+        raw = spark.read.option("columnPruning", "false").csv(
+            paths, schema=schema, header=True, sep=sep, mode="FAILFAST", enforceSchema=False, **_QUOTING
+        )
     return raw.select(*[null_if_na(named(h)).alias(h) for h in headers])
 
 
-def read_delimited(spark: SparkSession, path: str, sep: str = ",", all_text: bool = True) -> DataFrame:
-    """A delimited file as text columns, or with inferred types; a malformed row fails."""
-    reader = spark.read.option("columnPruning", "false")
-    return reader.csv(path, header=True, sep=sep, inferSchema=not all_text, mode="FAILFAST", multiLine=True, **_QUOTING)
+def text_cells(records: DataFrame, headers: Sequence[str], sep: str) -> DataFrame:
+    """The cells of records as text columns; one with more or fewer cells fails."""
+    places = [f"c{i}" for i in range(len(headers))]
+    options = {"sep": sep, "mode": "FAILFAST", "multiLine": "true", "lineSep": "\n", **_QUOTING}
+    cells = records.select(F.from_csv("text", ", ".join(f"{c} string" for c in places), options).alias("cells"))
+    return cells.select(*[F.col("cells")[c].alias(h) for c, h in zip(places, headers, strict=True)])
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a file or folder is there, in whatever store the path names."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def read_delimited(spark: SparkSession, path: str, sep: str = ",", all_text: bool = True) -> DataFrame:
+    """A delimited file as text columns, or with inferred types; a malformed row fails.
+
+    Files are read by ranges, with quoted line breaks or without.
+    """
+    options = {"sep": sep, "mode": "FAILFAST", **_QUOTING}
+    lines = lines_of(spark, path)
+    reader = spark.read.option("columnPruning", "false")
+    if not any(quote_use(lines)):
+        return reader.csv(path, header=True, inferSchema=not all_text, **options)
+    headers = read_header(spark, path, sep)
+    records = records_of(lines, sep, headers)
+    if all_text:
+        return text_cells(records, headers, sep)
+    strings = getattr(records._jdf, "as")(spark._jvm.org.apache.spark.sql.Encoders.STRING())
+    reader = reader.options(**options, inferSchema=True, multiLine=True, lineSep="\n")
+    return DataFrame(reader._jreader.csv(strings), spark).toDF(*headers)
 
 
 def list_files(spark: SparkSession, root: str, glob: str) -> list[str]:
@@ -106,7 +122,8 @@ def read_staged(
 
     A file of any other kind is an error. Files of a table are grouped by header
     and read one group at a time, then aligned by column name, so column order
-    may differ between files. One job finds the first lines of all CSV files.
+    may differ between files. Headers are found by opening each file and reading
+    its first record.
     """
     kinds: dict[str, list[str]] = {".csv": [], ".xlsx": []}
     for path in list_files(spark, root, "*"):
@@ -115,7 +132,7 @@ def read_staged(
             raise ValueError(f"neither CSV nor XLSX: {path}")
         kinds[kind].append(path)
     groups: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
-    lines = first_lines(spark, kinds[".csv"]) if kinds[".csv"] else {}
+    lines = first_lines(spark, kinds[".csv"], sep) if kinds[".csv"] else {}
     for path in kinds[".csv"]:
         groups[table_of(path), tuple(header_names(lines.get(plain_path(path), ""), sep))].append(path)
     parts: dict[str, list[DataFrame]] = defaultdict(list)
@@ -170,11 +187,27 @@ def read_seed(spark: SparkSession, path: str, types: Mapping[str, T.DataType] |
 
 
 def attach(frames: Mapping[str, DataFrame], layer: str) -> None:
-    """Expose frames to SQL as read-only views ``<layer>_<table>``."""
+    """Expose frames to SQL as read-only views ``<layer>_<table>`` of this session."""
     for name, frame in frames.items():
         frame.createOrReplaceTempView(f"{layer}_{name}")
 
 
+def attach_layer(spark: SparkSession, layer: str, places: Mapping[str, str], home: str) -> None:
+    """Make written Parquet tables known to SQL as ``<layer>.<table>``, as views, so read-only.
+
+    ``places`` has the folder of each table; ``home`` is where the catalog may
+    keep the schema's own folder. A table that is attached again points to its new place.
+    """
+    schema = quoted(layer)
+    spark.sql(f"create schema if not exists {schema} location '{home}/{layer}'")
+    for name, path in places.items():
+        spark.sql(f"create or replace view {schema}.{quoted(name)} as select * from parquet.{quoted(path)}")
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def task_files(tasks: DataFrame, column: str) -> DataFrame:
     """(table, url, file) per entry of the file lists in task descriptions (JSON); malformed JSON fails."""
     schema = "request struct<fileInfo:map<string,array<struct<s3FileUrl:string,userFileName:string>>>>"

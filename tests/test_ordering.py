@@ -1,8 +1,10 @@
+import datetime
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from docledger.operators.ordering import running_total, with_ordinal, with_position
+from docledger.operators.ordering import range_bounds, range_of, running_total, with_ordinal, with_position
 
 
 def shuffled(spark, rows, schema, parts=5):
@@ -23,21 +25,63 @@ def test_running_total(spark):
     assert totals == {f"v{i:03d}": i * (i + 1) // 2 for i in range(200)}
 
 
-def test_hot_groups_get_the_same_ordinals(spark):
-    """A third of the rows share one key, some have no key, some rows repeat."""
-    rows = [("hot", i % 90) for i in range(300)] + [(None, i) for i in range(80)]
+def ranked(rows, key=lambda r: r[0], order=lambda r: (r[1] is not None, r[1])):
+    """Ordinals by plain lists, as a set of (key, order, ordinal)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault(key(r), []).append(order(r))
+    return sorted((str(k), str(o[-1]), i) for k, values in groups.items() for i, o in enumerate(sorted(values), 1))
+
+
+@pytest.mark.parametrize("ranges", [1, 2, 7, 64])
+def test_ordinals_are_the_same_in_any_ranges(spark, ranges):
+    """A third of the rows share one key, some have no key or no place, some rows repeat."""
+    rows = [("hot", i % 290) for i in range(300)] + [(None, i) for i in range(80)] + [("hot", None)] * 3
     rows += [(f"k{i % 130}", i) for i in range(520)]
-    df = shuffled(spark, rows, "k string, v int")
-    plain = with_ordinal(df, ["k"], ["v"])
-    split = with_ordinal(df, ["k"], ["v"], hot_rows=50)
-    assert split.columns == plain.columns
-    assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+    placed = with_ordinal(shuffled(spark, rows, "k string, v int"), ["k"], ["v"], ranges=ranges)
+    assert placed.columns == ["k", "v", "ordinal"]
+    assert sorted((str(r.k), str(r.v), r.ordinal) for r in placed.collect()) == ranked(rows)
+
+
+def test_ordinals_by_several_columns_of_any_type(spark):
+    rng = random.Random(3)
+    rows = [
+        (rng.choice([None, "a", "b"]), rng.choice([None, datetime.date(2024, 1, 1)]), rng.choice([None, 1.5, float("nan"), float("inf"), -0.0]),
+         datetime.datetime(2024, 1, 1, 0, 0, 0, rng.randrange(1_000_000)), i)
+        for i in range(400)
+    ]
+    df = shuffled(spark, rows, "k string, d date, x double, t timestamp, i int")
+    one, many = (with_ordinal(df, ["k", "d"], ["x", "t", "i"], ranges=n).orderBy("i").collect() for n in (1, 50))
+    assert list(map(str, one)) == list(map(str, many))
+    assert max(r.ordinal for r in many) > 50
+
+
+def test_a_hot_key_is_spread_and_wide_rows_move_once(spark):
+    df = spark.range(0, 40_000, 1, 16).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 997).cast("string")).alias("k"),
+        "id", F.md5(F.col("id").cast("string")).alias("wide"),
+    )
+    placed = with_ordinal(df, ["k"], ["id"], ranges=32)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert "wide" in plan and "Sample" not in plan
+    laid = df.select("*", range_of(F.struct("k", "id"), range_bounds(df, F.struct("k", "id"), 32), 32).alias("r"))
+    sizes = laid.groupBy("r").count().collect()
+    hot = laid.where("k = 'hot'").groupBy("r").count().collect()
+    assert len(hot) >= 8 and max(r["count"] for r in sizes) < 40_000 / 32 * 3
+    assert placed.where("k = 'hot'").agg(F.max("ordinal")).first()[0] == df.where("k = 'hot'").count()
 
 
-def test_small_groups_add_no_checkpoint(spark):
-    df = shuffled(spark, [("a", i) for i in range(10)], "k string, v int")
-    plan = with_ordinal(df, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
-    assert "Window" in plan and "ExistingRDD" not in plan.split("Window")[0]
+def test_wide_rows_have_one_exchange(spark):
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.md5(F.col("id").cast("string")).alias("wide"))
+        plan = with_ordinal(df, ["k"], ["id"])._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    text = plan.toString()
+    below = text[: text.index("BroadcastExchange")]
+    assert below.count("Exchange hashpartitioning") == 1
 
 
 def test_empty_frame(spark):

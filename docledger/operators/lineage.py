@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docledger.functions import named
-from docledger.operators.joins import look_up
 from docledger.session import checkpoint
 
 # Columns that can hold the traced document number.
@@ -22,31 +21,37 @@ TRACE_KEYS = ("Document Number", "BELNR", "VBELN", "AWKEY")
 def upstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """(start, node, depth): everything each start depends on, itself at depth 0.
 
-    ``edges`` is (child, parent), ``starts`` is (node). Each round joins the newly
-    reached nodes to their parents and keeps the unseen ones; rounds are
-    checkpointed, so the plan stays short and cycles end.
+    ``edges`` is (child, parent), ``starts`` is (node). Jumps double: those of a
+    round lead over all ways of up to twice as many edges as those before, with
+    the shortest length, and extend what the starts have reached. A round covers
+    every way up to a known length, so the search ends once the deepest node is
+    nearer than that; a chain of a thousand takes ten rounds. Jumps and reached
+    nodes are reduced to one row a pair, on the map side first, and
+    checkpointed, so plans stay short and cycles add nothing.
     """
-    edges = checkpoint(edges.select("child", "parent").distinct())
-    frontier = checkpoint(
-        starts.select(F.col("node").alias("start"), "node").distinct().withColumn("depth", F.lit(0))
-    )
-    seen, depth = frontier, 0
+    one = F.lit(1).alias("steps")
+    jumps = checkpoint(edges.where(F.col("child") != F.col("parent")).select("child", "parent", one).distinct())
+    seen = starts.select(F.col("node").alias("start"), "node").distinct().withColumn("depth", F.lit(0))
+    covered, length = 0, 1
     while True:
-        depth += 1
-        reached = (
-            frontier.select("start", F.col("node").alias("child"))
-            .join(edges, "child")
-            .select("start", F.col("parent").alias("node"))
-            .distinct()
+        further = (
+            seen.select("start", F.col("node").alias("child"), "depth")
+            .join(jumps, "child")
+            .select("start", F.col("parent").alias("node"), (F.col("depth") + F.col("steps")).alias("depth"))
         )
-        frontier = checkpoint(
-            reached.join(seen.select("start", "node"), ["start", "node"], "left_anti").withColumn(
-                "depth", F.lit(depth)
-            )
-        )
-        if frontier.isEmpty():
+        seen = checkpoint(seen.unionByName(further).groupBy("start", "node").agg(F.min("depth").alias("depth")))
+        covered += length
+        deepest = seen.agg(F.max("depth")).first()[0]
+        if deepest is None or deepest < covered:
             return seen
-        seen = seen.unionByName(frontier)
+        onward = jumps.select(F.col("child").alias("over"), F.col("parent").alias("to"), F.col("steps").alias("more"))
+        longer = (
+            jumps.join(onward, jumps["parent"] == onward["over"])
+            .where(F.col("child") != F.col("to"))
+            .select("child", F.col("to").alias("parent"), (F.col("steps") + F.col("more")).alias("steps"))
+        )
+        jumps = checkpoint(jumps.unionByName(longer).groupBy("child", "parent").agg(F.min("steps").alias("steps")))
+        length *= 2
 
 
 def downstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
@@ -93,18 +98,25 @@ def walk(parents: Mapping[str, Sequence[str]], node: str) -> list[tuple[str, int
 
 def matching_rows(df: DataFrame, numbers: DataFrame | str | None, keys: Sequence[str] = TRACE_KEYS) -> DataFrame:
     """Rows with a wanted number in any key column the table has; all rows when
-    it has none. ``numbers`` is one number or a frame with a ``number`` column."""
+    it has none. ``numbers`` is one number or a frame with a ``number`` column.
+
+    Whether a row is wanted depends on its key columns alone. So the values of
+    those are looked for first, all columns in one join, and the rows then join
+    the key combinations that were found: they move once, however many key
+    columns there are, and not at all where the combinations found are few.
+    """
     present = [c for c in keys if c in df.columns]
     if numbers is None or not present:
         return df
     if isinstance(numbers, str):
         return df.where(reduce(or_, [named(c) == numbers for c in present]))
-    wanted = numbers.select(F.col("number").cast("string").alias("number")).distinct()
-    flagged = df
-    for i, c in enumerate(present):
-        flagged = look_up(flagged, wanted.withColumn("hit", F.lit(True)), [(c, "number")], {"hit": f"__n_{i}"})
-    marks = [f"__n_{i}" for i in range(len(present))]
-    return flagged.where(reduce(or_, [F.col(m).isNotNull() for m in marks])).drop(*marks)
+    wanted = numbers.select(F.col("number").cast("string").alias("number")).where("number is not null").distinct()
+    place = F.struct(*[named(c).cast("string").alias(f"k{i}") for i, c in enumerate(present)])
+    values = F.array_distinct(F.array_compact(F.array(*[named(c).cast("string") for c in present])))
+    told = df.select(place.alias("__at"), F.explode(values).alias("__value"))
+    found = told.join(wanted, F.col("__value").eqNullSafe(F.col("number")), "left_semi").select("__at").distinct()
+    marked = df.withColumn("__place", place)
+    return marked.join(found, F.col("__place").eqNullSafe(F.col("__at")), "left_semi").drop("__place")
 
 
 def trace(

@@ -1,6 +1,10 @@
 import json
 
+from pyspark.sql import functions as F
+
+from docledger.operators import lineage
 from docledger.operators.lineage import Project, downstream, matching_rows, trace, upstream, walk
+from docledger.session import checkpoint
 
 PARENTS = {"s.register": ["s.export", "raw.lines"], "s.export": ["raw.lines"]}
 
@@ -21,6 +25,34 @@ def test_upstream_takes_the_shortest_path_and_ends_on_cycles(spark):
     }
 
 
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """A chain of a thousand with a short cut, a cycle and a fork in it."""
+    pairs = [(f"n{i}", f"n{i + 1}") for i in range(1000)] + [("n10", "n400"), ("n700", "n650"), ("n5", "m0"), ("m0", "m1"), ("n7", "n7")]
+    edges = spark.createDataFrame(pairs, "child string, parent string")
+    starts = spark.createDataFrame([("n0",), ("n999",), ("m1",)], "node string")
+    kept = []
+    monkeypatch.setattr(lineage, "checkpoint", lambda df: kept.append(df) or checkpoint(df))
+    reached = {(r.start, r.node): r.depth for r in upstream(edges, starts).collect()}
+    assert len(kept) <= 22
+    graph, expected = {}, {}
+    for child, parent in pairs:
+        graph.setdefault(child, []).append(parent)
+    for start in ("n0", "n999", "m1"):
+        level, depth = {start}, 0
+        while level:
+            expected |= {(start, n): depth for n in level}
+            level = {p for n in level for p in graph.get(n, ())} - {n for s, n in expected if s == start}
+            depth += 1
+    assert reached == expected and reached["n0", "n1000"] == 611
+
+
+def test_nothing_to_walk(spark):
+    none = spark.createDataFrame([], "child string, parent string")
+    starts = spark.createDataFrame([("a",), ("a",)], "node string")
+    assert [tuple(r) for r in upstream(none, starts).collect()] == [("a", "a", 0)]
+    assert upstream(none, starts.where("node = 'b'")).collect() == []
+
+
 def test_project_manifest(spark):
     manifest = {
         "nodes": {"model.a": {"schema": "sale", "name": "register"}, "model.b": {"schema": "sale", "name": "export"}},
@@ -52,6 +84,28 @@ def test_trace_one_number(spark):
     assert json.loads(next(r.row for r in rows if r.visit == 0)) == {"Document Number": "7", "v": "x"}
 
 
+def test_wide_rows_move_once(spark):
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        wide = spark.range(50).select(
+            *[F.when(F.col("id") % (i + 2) == 0, F.col("id").cast("string")).alias(c) for i, c in enumerate(lineage.TRACE_KEYS)],
+            F.md5(F.col("id").cast("string")).alias("wide"),
+        )
+        numbers = spark.range(10).select(F.col("id").cast("string").alias("number"))
+        rows = matching_rows(wide, numbers)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(coalesce(__place") == 1
+        assert plan.count("Exchange") <= 6 and plan.count("Scan") + plan.count("Range") <= 3
+        expected = [r for r in wide.collect() if any(r[c] is not None and int(r[c]) < 10 for c in lineage.TRACE_KEYS)]
+        assert sorted(map(str, rows.collect())) == sorted(map(str, expected))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_trace_many_numbers_keeps_each_row_once(spark):
     numbers = spark.createDataFrame([("7",), ("8",), ("7",), (None,)], "number string")
     frames = tables(spark)

@@ -5,11 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docledger.functions import composite_key, dotted_date, named
-from docledger.operators.joins import members
 from docledger.operators.rollup import Agg, rollup
 
 # Column and label texts of the comparison report.
@@ -146,16 +145,19 @@ def common_voucher_sums(
 ) -> DataFrame:
     """Voucher sums of both sides (column ``side``) for the vouchers both have.
 
-    Each side is read and summed once; which vouchers are common follows from
-    the sums, by one aggregate of their tagged keys.
+    Both sides are read once, tagged and summed together, partly before their
+    shuffle. The sums of a voucher then meet once more, which shows whether both
+    sides have it: two exchanges, of sums only. A NULL voucher is on no side.
     """
     sides = [
-        voucher_sums(df, group, amounts, dates, amount_type).withColumn("side", F.lit(side))
+        _voucher_lines(df, group, amounts, dates, amount_type).withColumn("side", F.lit(side))
         for side, df in (("generated", generated), ("customer", customer))
     ]
-    both = sides[0].unionByName(sides[1])
-    seen = both.groupBy(named(key)).agg(F.max(F.col("side") == "generated").alias("l"), F.max(F.col("side") == "customer").alias("r"))
-    return members(both, seen.where(F.col("l") & F.col("r")), [key])
+    lines = sides[0].unionByName(sides[1]).where(named(key).isNotNull())
+    sums = lines.groupBy(*[named(c) for c in group.values()], "side").agg(*[F.sum(named(c)).alias(c) for c in amounts])
+    voucher = Window.partitionBy(named(key))
+    on_both = (F.min("side").over(voucher) != F.max("side").over(voucher)).alias("__both")
+    return sums.select("*", on_both).where("__both").select(*[named(c) for c in group.values()], *[named(c) for c in amounts], "side")
 
 
 def voucher_sums(
@@ -170,8 +172,12 @@ def voucher_sums(
     Amounts are decimals by default: sums of reals depend on the order of their
     rows. ``dates`` print as dd.MM.yyyy first.
     """
-    keys = [
-        (dotted_date(named(c)) if c in dates else named(c)).alias(out) for c, out in group.items()
-    ]
-    sums = [F.sum(named(c).cast(amount_type)).alias(c) for c in amounts]
-    return df.groupBy(*keys).agg(*sums)
+    lines = _voucher_lines(df, group, amounts, dates, amount_type)
+    return lines.groupBy(*[named(c) for c in group.values()]).agg(*[F.sum(named(c)).alias(c) for c in amounts])
+
+
+def _voucher_lines(
+    df: DataFrame, group: Mapping[str, str], amounts: Sequence[str], dates: Sequence[str], amount_type: str
+) -> DataFrame:
+    keys = [(dotted_date(named(c)) if c in dates else named(c)).alias(out) for c, out in group.items()]
+    return df.select(*keys, *[named(c).cast(amount_type).alias(c) for c in amounts])

@@ -26,6 +26,8 @@ MISMATCH = "Mismatch"
 # The document sections of the cross-section report.
 SECTIONS = ("B2B", "CDN", "B2BA", "CDNA")
 OTHER_SECTION = "OTHER"
+# Reports of a bundle's counts.
+FIELDS, TAX, TAXABLE, CROSS = "fields", "tax", "taxable", "cross"
 # Headers of the overall summary and of the ingestion summary.
 SUMMARY_HEADERS = ("Match Status", "2b doc count", "2b taxableValue", "pr doc count", "pr taxableValue")
 INGESTION_HEADERS = ("GSTIN", "Docs", "Rows", "Errors", "No Errors")
@@ -138,10 +140,15 @@ def cross_section(
         .groupBy("register_section", "g")
         .count()
     )
+    return section_grid(pairs, sections)
+
+
+def section_grid(pairs: DataFrame, sections: Sequence[str] = SECTIONS) -> DataFrame:
+    """The grid of (register_section, g, count) rows."""
     columns = [*sections, OTHER_SECTION]
     counted = pairs.groupBy("register_section").pivot("g", columns).agg(F.sum("count"))
     grid = F.array(*[F.lit(c) for c in columns])
-    rows = details.sparkSession.range(1).select(F.explode(grid).alias("register_section"))
+    rows = pairs.sparkSession.range(1).select(F.explode(grid).alias("register_section"))
     return rows.join(counted, "register_section", "left").select(
         "register_section", *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in columns]
     )
@@ -166,21 +173,77 @@ def ingestion_summary(stats: DataFrame, column: str) -> DataFrame:
     return rows.toDF(*INGESTION_HEADERS)
 
 
+def bundle_counts(
+    details: DataFrame,
+    field: str = "mismatch_fields",
+    tax: str = "tax_diff",
+    govt: str = "govt_taxable",
+    register: str = "register_taxable",
+    govt_section: str = "govt_section",
+    register_section: str = "register_section",
+    status: str = "match_status",
+    sections: Sequence[str] = SECTIONS,
+) -> DataFrame:
+    """(report, value, other, document_count, first_row, last_row): all count reports from one pass.
+
+    A mismatch row emits one entry per report that it counts in, and its values;
+    one grouped count serves them all. Row ranges are a running total over
+    (report, value), less what the reports before take. The counts are written
+    once, so what is picked from them doesn't read the details again.
+    """
+
+    def entry(report: str, value: Column, other: Column | None = None) -> Column:
+        second = F.lit(None).cast("string") if other is None else other
+        return F.struct(F.lit(report).alias("report"), value.cast("string").alias("value"), second.alias("other"))
+
+    def known(name: str) -> Column:
+        return F.when(named(name).isin(*sections), named(name)).otherwise(OTHER_SECTION)
+
+    parts = F.coalesce(split_fields(named(field)), F.array(F.lit(None).cast("string")))
+    fields = F.transform(parts, lambda part: entry(FIELDS, part))
+    single = F.array(
+        entry(TAX, bucket_key(named(tax))),
+        entry(TAXABLE, bucket_key(named(govt) - named(register))),
+        entry(CROSS, known(register_section), known(govt_section)),
+    )
+    entries = mismatched(details, status).select(F.inline(F.concat(fields, single)))
+    counts = entries.groupBy("report", "value", "other").agg(F.count(F.lit(1)).alias("document_count"))
+    total = running_total(counts, ["report", "value", "other"], "document_count", "upto")
+    before = total.groupBy("report").agg(F.min(F.col("upto") - F.col("document_count")).alias("start"))
+    starts = F.broadcast(before.withColumnRenamed("report", "of"))  # a row a report
+    return total.join(starts, F.col("report") == F.col("of")).select(
+        "report", "value", "other", "document_count",
+        (F.col("upto") - F.col("start") - F.col("document_count") + 2).alias("first_row"),
+        (F.col("upto") - F.col("start") + 1).alias("last_row"),
+    )
+
+
 def recon_bundle(details: DataFrame, **options) -> dict[str, DataFrame]:
     """All reconciliation reports over the mismatch rows.
 
-    Each is a narrow pass with a small aggregate at most; nothing stays cached.
+    Row reports are narrow passes. All counts come from one pass over the
+    details, made when the bundle is built, and are read from its result.
     """
     rows = mismatched(details)
-    tax = tax_difference_details(rows, **options)
-    taxable = taxable_difference_details(rows, **options)
+    counts = bundle_counts(details)
+    labels = options.get("labels", BUCKET_LABELS)
+    ranges = ["document_count", "first_row", "last_row"]
+
+    def buckets(report: str) -> DataFrame:
+        keyed = counts.where(F.col("report") == report).select(F.col("value").cast("int").alias("bucket_key"), *ranges)
+        return keyed.withColumn("bucket_label", bucket_label(F.col("bucket_key"), labels))
+
     return {
         "mismatch_rows": rows,
         "mismatch_details": mismatch_details(rows),
-        "mismatch_counts": mismatch_counts(rows),
-        "tax_difference_details": tax,
-        "tax_difference_counts": difference_counts(tax),
-        "taxable_difference_details": taxable,
-        "taxable_difference_counts": difference_counts(taxable),
-        "cross_section": cross_section(rows),
+        "mismatch_counts": counts.where(F.col("report") == FIELDS).select(F.col("value").alias("mismatch_fields"), *ranges),
+        "tax_difference_details": tax_difference_details(rows, **options),
+        "tax_difference_counts": buckets(TAX),
+        "taxable_difference_details": taxable_difference_details(rows, **options),
+        "taxable_difference_counts": buckets(TAXABLE),
+        "cross_section": section_grid(
+            counts.where(F.col("report") == CROSS).select(
+                F.col("value").alias("register_section"), F.col("other").alias("g"), F.col("document_count").alias("count")
+            )
+        ),
     }

@@ -54,10 +54,11 @@ def with_group_total(df: DataFrame, key: Sequence[str], amount: str, name: str)
 
     Equal to a windowed sum with an unbounded frame, but aggregated before the
     shuffle and joined back, so a hot key is summed on the map side and its
-    rows can be split by adaptive skew-join handling.
+    rows can be split by adaptive skew-join handling. The totals, a narrow row a
+    key, are the hashed side: the wide rows are not sorted.
     """
     totals = df.groupBy(*[named(c) for c in key]).agg(F.sum(named(amount)).alias(name))
-    totals = totals.select(name, *[named(c).alias(f"__key_{i}") for i, c in enumerate(key)])
+    totals = totals.select(name, *[named(c).alias(f"__key_{i}") for i, c in enumerate(key)]).hint("shuffle_hash")
     pairs = [(c, f"__key_{i}") for i, c in enumerate(key)]
     return df.join(totals, null_safe_on(df, totals, pairs), "left").drop(*[b for _, b in pairs])
 

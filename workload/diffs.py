@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from docledger.operators.framediff import frame_diff, narrowed, shape_counts, side_by_side
-from docledger.operators.lineage import downstream, trace, upstream
+from docledger.operators.lineage import Project, downstream, trace, upstream
 from docledger.operators.snapshots import (
+    file_hashes,
     fingerprint,
     latest_version,
     read_version,
@@ -199,6 +200,14 @@ def _version_latest(t):
     return latest_version(t("version_log"))
 
 
+_BLOCK = 1_000  # lines a block, small enough for trees of several levels
+
+
+def _level(below: str) -> str:
+    return f"""select part, n // {_BLOCK} as n, case when n // {_BLOCK} = 0 and count(*) = 1 then min(digest)
+        else md5(string_agg(digest, '' order by n)) end as digest from {below} group by part, n // {_BLOCK}"""
+
+
 @query(
     "versioned_write",
     """
@@ -216,6 +225,33 @@ def _versioned_write(t):
     return read_version(t.spark, root).select(F.lit(written).cast("long").alias("versions"), *_ORDER_COLUMNS)
 
 
+@query(
+    "file_fingerprints",
+    f"""
+    with lines as (
+        select o_orderpriority as part, row_number() over (partition by o_orderpriority order by o_orderkey) - 1 as n,
+            concat_ws('|', o_orderkey, o_custkey, o_orderstatus) as line
+        from {{orders}}
+    ), leaves as (
+        select part, n, md5(line) as digest from lines
+    ), one as ({_level("leaves")}), two as ({_level("one")}), three as ({_level("two")})
+    select part, md5(concat_ws(':', size, digest)) as hash
+    from (select part, cast(sum(length(line) + 1) as bigint) as size from lines group by 1) join three using (part)
+    """,
+)
+def _file_fingerprints(t):
+    """One text file per priority, written from the orders and fingerprinted by blocks."""
+    root = f"{t.scratch()}/files"
+    lines = t("orders").select(
+        "o_orderpriority", "o_orderkey", F.concat_ws("|", "o_orderkey", "o_custkey", "o_orderstatus").alias("value")
+    )
+    laid = lines.repartition("o_orderpriority").sortWithinPartitions("o_orderpriority", "o_orderkey")
+    laid.select("value", F.col("o_orderpriority").alias("part")).write.partitionBy("part").text(root)
+    hashes = file_hashes(t.spark, root, block_lines=_BLOCK)
+    part = F.url_decode(F.regexp_extract("path", "part=([^/]*)/", 1))
+    return hashes.select(part.alias("part"), "hash")
+
+
 @query(
     "lineage_closure",
     """
@@ -247,6 +283,45 @@ def _lineage_downstream(t):
 _WANTED = "select lpad(cast(o_orderkey as string), 10, '0') from {orders} where o_orderpriority = '1-URGENT'"
 
 
+@query(
+    "manifest_downstream",
+    """
+    select 'model.s' || s_suppkey as node, 'layer.' || s_name as "table", 2 as depth
+    from {supplier} join {nation} on s_nationkey = n_nationkey where n_regionkey in (1, 3)
+    union all
+    select 'model.n' || n_nationkey, 'layer.' || n_name, 1 from {nation} where n_regionkey in (1, 3)
+    union all
+    select 'source.r' || r_regionkey, 'raw.' || r_name, 0 from {region} where r_regionkey in (1, 3)
+    """,
+)
+def _manifest_downstream(t):
+    """A project's manifest, read from its file: what is built from two of its sources."""
+    path = f"{t.scratch()}/manifest"
+    models = t("supplier").select(
+        F.concat(F.lit("model.s"), "s_suppkey").alias("node"), F.col("s_name").alias("name"),
+        F.concat(F.lit("model.n"), "s_nationkey").alias("parent"),
+    ).unionByName(
+        t("nation").select(
+            F.concat(F.lit("model.n"), "n_nationkey").alias("node"), F.col("n_name").alias("name"),
+            F.concat(F.lit("source.r"), "n_regionkey").alias("parent"),
+        )
+    )
+    raw = t("region").select(F.concat(F.lit("source.r"), "r_regionkey").alias("node"), F.col("r_name").alias("name"))
+
+    def entries(df, schema):
+        of = F.struct(F.lit(schema).alias("schema"), "name")
+        return df.agg(F.map_from_entries(F.collect_list(F.struct("node", of))).alias("m"))
+
+    parents = models.agg(F.map_from_entries(F.collect_list(F.struct("node", F.array("parent")))).alias("p"))
+    nodes, sources = entries(models, "layer"), entries(raw, "raw").withColumnRenamed("m", "s")
+    whole = nodes.join(F.broadcast(sources)).join(F.broadcast(parents))
+    whole.select(F.to_json(F.struct(F.col("m").alias("nodes"), F.col("s").alias("sources"), F.col("p").alias("parent_map")))).write.text(path)
+    project = Project.from_manifest(t.spark.read.text(path, wholetext=True).where("value <> ''").first()[0])
+    starts = t("region").where("r_regionkey in (1, 3)").select(F.concat(F.lit("source.r"), "r_regionkey").alias("node"))
+    names = t.spark.createDataFrame(list(project.tables.items()), "node string, table string")
+    return downstream(project.edges(t.spark), starts).join(names, "node").select("node", "table", "depth")
+
+
 @query(
     "trace_rows",
     f"""

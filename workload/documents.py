@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from docledger.operators import documents as doc
 from docledger.operators.keys import common_keys, restrict_to_first_keys
 from docledger.operators.ordering import numbered
+from docledger.plans.dossiers import DossierSpec, register_dossier
 from docledger.sources.files import attach
 from workload.base import query
 
@@ -321,6 +322,71 @@ def _summary_ordered(t):
     return numbered(doc.summary_order(summary)).select(*doc.DOC_KEY, total, "position")
 
 
+@query(
+    "tax_ordered",
+    f"""
+    select {_KEY}, buzei, row_number() over (order by {_KEY}, buzei nulls last, kschl, hkont, txt50) as position
+    from {{bset}} left join {{skat}} on hkont = saknr and spras = 'E'
+    """,
+)
+def _tax_ordered(t):
+    lines = doc.tax_lines(t("bset"), t("skat"), factor=100.0)
+    return numbered(doc.tax_order(lines)).select(*doc.DOC_KEY, "buzei", "position")
+
+
+@query(
+    "pricing_ordered",
+    f"""
+    select knumv, kposn, row_number() over (order by knumv, kposn nulls last) as position
+    from {{prcd}} p join {_TEXT} x on x.kschl = p.kschl
+    """,
+)
+def _pricing_ordered(t):
+    return numbered(doc.pricing_order(doc.pricing_lines(t("prcd"), t("t685t")))).select("knumv", "kposn", "position")
+
+
+@query(
+    "pricing_summary_ordered",
+    f"""
+    with s as (
+        select knumv, kinak, p.kschl, vtext, cast(sum(kwert) as double) as kwert_sum from {{prcd}} p join {_TEXT} x
+        on x.kschl = p.kschl group by all)
+    select knumv, kinak, kwert_sum, row_number() over (order by knumv, kinak nulls last, kwert_sum nulls last) as position from s
+    """,
+)
+def _pricing_summary_ordered(t):
+    summary = doc.pricing_summary(t("prcd"), t("t685t"))
+    return numbered(doc.pricing_summary_order(summary)).select("knumv", "kinak", "kwert_sum", "position")
+
+
+_BY_AMOUNT = DossierSpec(
+    key="doc_no", numbers=("taxable",), pads={"supplier_gstin": 10}, order_amount="amount",
+    skip=("gstin", "cgst", "sgst", "igst", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "amount"),
+)
+_AMOUNT = "case when l_linenumber = 3 then 'n/a' else replace(cast(cast(taxable as decimal(18,2)) as varchar), '.', ',') end"
+
+
+@query(
+    "dossier_by_amount",
+    f"""
+    select doc_no as document, page, string_agg(block, '' order by ordinal) as "text"
+    from (select doc_no, ordinal, (ordinal - 1) // 10000 + 1 as page, {_BLOCK} as block
+          from (select *, row_number() over (partition by doc_no order by
+                    cast(try_cast(replace(amount, ',', '') as float) as double) nulls first,
+                    gstin nulls first, supplier_gstin nulls first, doc_date nulls first, taxable, cgst, sgst, igst, l_linenumber,
+                    l_partkey, l_suppkey, l_quantity, amount) as ordinal
+                from (select *, {_AMOUNT} as amount from {{gen}})))
+    group by 1, 2
+    """,
+)
+def _dossier_by_amount(t):
+    """Rows of a document by an amount read from text, commas removed, unreadable ones first."""
+    amount = F.when(F.col("l_linenumber") == 3, "n/a").otherwise(
+        F.translate(F.col("taxable").cast("decimal(18,2)").cast("string"), ".", ",")
+    )
+    return register_dossier(t("gen").withColumn("amount", amount), _BY_AMOUNT)
+
+
 @query(
     "attached_fallback",
     "select knumv, kschl, cast(kwert as double) as kwert from {prcd}",

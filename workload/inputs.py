@@ -3,9 +3,9 @@
 from pyspark.sql import functions as F
 
 from docledger.functions import dotted_date, pad_key, rjust_key, rounded_amount, text_to_real
-from docledger.operators.reconcile import SALES
+from docledger.operators.reconcile import PURCHASE, SALES
 from docledger.operators.reports import error_counts
-from docledger.plans.comparison import Override, compare_with_file
+from docledger.plans.comparison import Comparison, Override, compare_with_file, run_comparisons
 from docledger.sources.catalog import conform, rename_columns, rewrite_key, schema_catalog
 from docledger.sources.extract import extract
 from docledger.sources.files import read_delimited, read_seed, read_staged, task_files
@@ -134,6 +134,31 @@ def _compare_with_file(t):
     return compare_with_file(t.spark, register, path, SALES, Override(columns_mapping=mapping), TIES)
 
 
+@query(
+    "comparisons_of_templates",
+    _SALES_SQL
+    + """select cast('sales' as varchar) as ran, "Composite_Key" as document, nullif("Mismatched Fields", '') as fields,
+        "Matching Status" as status from report where "Matching Status" <> 'Exact'""",
+)
+def _comparisons_of_templates(t):
+    """Both templates are asked for; the purchase file is missing, so only sales runs. Differences are reported."""
+    root = t.scratch()
+    columns = [*_HEADERS, *TIES[:-1]]
+    ordered = t("cus").select(*columns).orderBy("doc_no", *TIES[:-1], "taxable")
+    write_register(rename_columns(ordered, _HEADERS), f"{root}/sales", "csv")
+    mapping = {header: _SALES_NAMES[column] for column, header in _HEADERS.items()}
+    register = _side(t("gen"), _SALES_NAMES)
+    runs = {
+        "sales": Comparison(register, f"{root}/sales", SALES, Override(columns_mapping=mapping), TIES, f"{root}/out/sales"),
+        "purchase": Comparison(register, f"{root}/purchase", PURCHASE, Override(), TIES, f"{root}/out/purchase"),
+    }
+    ran = run_comparisons(t.spark, runs, only_diff=True)
+    return read_delimited(t.spark, f"{root}/out/sales").select(
+        F.lit(",".join(ran)).alias("ran"), F.col("Composite_Key").alias("document"),
+        F.col("`Mismatched Fields`").alias("fields"), F.col("`Matching Status`").alias("status"),
+    )
+
+
 @query("error_file_counts", _ranges("error_message", _MESSAGES))
 def _error_file_counts(t):
     path = f"{t.scratch()}/errors"

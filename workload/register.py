@@ -1,8 +1,12 @@
 """Register, export type, model run and lookup queries."""
 
+from pyspark.sql import functions as F
+
 from docledger.operators.lookup import enrich
-from docledger.plans.models import sale_project
+from docledger.plans.models import attach_published, published, sale_project
 from docledger.plans.register import export_type, sales_register
+from docledger.sources.files import attach_layer
+from docledger.sources.sinks import write_register
 from workload.base import query
 
 _X = "INVH_FORM_CODE in ('EXPORT','NEPAL','BHUTAN')"
@@ -72,10 +76,60 @@ def _export_type(t):
     return export_type(t("sales"))
 
 
-@query("model_run", f"select \"Document Number\", \"Document Total Amount\", \"Export Type\" from ({_REGISTER}) r")
+@query("model_run", _REGISTER)
 def _model_run(t):
-    built = sale_project().run(t.spark, {"raw.sales": t("sales")}, t.scratch())
-    return built["s_sale.sales_register"].select("Document Number", "Document Total Amount", "Export Type")
+    """The register as the project publishes it, all its columns."""
+    root = t.scratch()
+    sale_project().run(t.spark, {"raw.sales": t("sales")}, root)
+    return published(t.spark, root)["s_sale.sales_register"]
+
+
+@query("model_run_after_failure", _EXPORT)
+def _model_run_after_failure(t):
+    """A later run whose second model fails leaves both tables of the run before."""
+    root = t.scratch()
+    project = sale_project()
+    project.run(t.spark, {"raw.sales": t("sales")}, root)
+
+    def broken(register):
+        return register.select(F.raise_error(F.concat(F.lit("no "), F.col("Document Number"))).cast("string").alias("x"))
+
+    project.add("sale", "late", ["s_sale.sales_register"], broken)
+    try:
+        project.run(t.spark, {"raw.sales": t("sales").where(F.col("HSN_CODE").isNotNull())}, root)
+    except Exception as error:
+        if "no " not in str(error):
+            raise
+    else:
+        raise AssertionError("the run should have failed")
+    tables = published(t.spark, root)
+    if set(tables) != {"s_sale.sales_register", "s_sale.export_type"}:
+        raise AssertionError(f"published {sorted(tables)}")
+    return tables["s_sale.export_type"]
+
+
+@query(
+    "layers_by_name",
+    f"""
+    select r.invh_no, r.lines, e.typed from
+        (select INVH_NO as invh_no, count(*) as lines from {{sales}} group by 1) r
+        join (select invh_no, count(export_type) as typed from ({_EXPORT}) group by 1) e on r.invh_no = e.invh_no
+    """,
+)
+def _layers_by_name(t):
+    """Raw and model layers read by their SQL names, one built from the other."""
+    root = t.scratch()
+    write_register(t("sales"), f"{root}/input/sales")
+    attach_layer(t.spark, "raw", {"sales": f"{root}/input/sales"}, f"{root}/catalog")
+    sale_project().run(t.spark, {"raw.sales": t.spark.table("raw.sales")}, root)
+    attach_published(t.spark, root)
+    return t.spark.sql(
+        """
+        select r.invh_no, r.lines, e.typed
+        from (select INVH_NO as invh_no, count(*) as lines from raw.sales group by 1) r
+        join (select invh_no, count(export_type) as typed from s_sale.export_type group by 1) e on r.invh_no = e.invh_no
+        """
+    )
 
 
 @query(

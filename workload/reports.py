@@ -160,6 +160,77 @@ def _recon_bundle(t):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+_DETAIL = "cast(doc_id as varchar) as doc_id, cast(line_no as bigint) as line_no, cast(part_id as bigint) as part_id"
+_NO_ROW = "cast(null as varchar) as doc_id, cast(null as bigint) as line_no, cast(null as bigint) as part_id"
+_NO_COUNT = "cast(null as bigint) as document_count, cast(null as bigint) as first_row, cast(null as bigint) as last_row"
+_COUNT = "cast(document_count as bigint) as document_count, first_row, last_row"
+
+
+def _sections(value: str) -> str:
+    return f"case when {value} in ('B2B','CDN','B2BA','CDNA') then {value} else 'OTHER' end"
+
+
+@query(
+    "recon_bundle",
+    f"""
+    select 'mismatch_rows' as report, {_DETAIL}, mismatch_fields as value, cast(null as varchar) as other, {_NO_COUNT}
+    from {{details}} where match_status = 'Mismatch'
+    union all
+    select 'mismatch_details', {_DETAIL}, mismatch_fields, null, {_NO_COUNT} from ({_PARTS})
+    union all
+    select 'tax_difference_details', {_DETAIL}, bucket_label, cast(bucket_key as varchar), {_NO_COUNT} from ({_bucketed("tax_diff")})
+    union all
+    select 'taxable_difference_details', {_DETAIL}, bucket_label, cast(bucket_key as varchar), {_NO_COUNT} from ({_bucketed(_TAXABLE)})
+    union all
+    select 'mismatch_counts', {_NO_ROW}, mismatch_fields, null, {_COUNT} from ({_ranges("mismatch_fields", _PARTS)})
+    union all
+    select 'tax_difference_counts', {_NO_ROW}, bucket_label, cast(bucket_key as varchar), {_COUNT} from ({_bucket_counts("tax_diff")})
+    union all
+    select 'taxable_difference_counts', {_NO_ROW}, bucket_label, cast(bucket_key as varchar), {_COUNT} from ({_bucket_counts(_TAXABLE)})
+    union all
+    select 'cross_section', {_NO_ROW}, s.r, s.g, cast(count(d.r) as bigint), cast(null as bigint), cast(null as bigint)
+    from (select a.c as r, b.c as g from (values {", ".join(f"('{c}')" for c in _GRID)}) a(c),
+        (values {", ".join(f"('{c}')" for c in _GRID)}) b(c)) s
+    left join (select {_sections("register_section")} as r, {_sections("govt_section")} as g
+        from {{details}} where match_status = 'Mismatch') d on d.r = s.r and d.g = s.g
+    group by s.r, s.g
+    """,
+)
+def _bundle(t):
+    """Every output of the bundle; its counts come from one pass."""
+    reports = recon_bundle(t("details"))
+    none = F.lit(None)
+    shown = {
+        "mismatch_rows": ("mismatch_fields", None),
+        "mismatch_details": ("mismatch_fields", None),
+        "tax_difference_details": ("bucket_label", "bucket_key"),
+        "taxable_difference_details": ("bucket_label", "bucket_key"),
+        "mismatch_counts": ("mismatch_fields", None),
+        "tax_difference_counts": ("bucket_label", "bucket_key"),
+        "taxable_difference_counts": ("bucket_label", "bucket_key"),
+    }
+    grid = reports["cross_section"]
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("other"), F.col(c).alias("document_count")) for c in _GRID]))
+    frames = {name: reports[name] for name in shown} | {
+        "cross_section": grid.select(F.col("register_section").alias("value"), cells)
+    }
+    united = None
+    for name, frame in frames.items():
+        value, other = shown.get(name, ("value", "other"))
+        has = set(frame.columns)
+
+        def column(source, kind, alias, has=has):
+            return (F.col(source) if source in has else none).cast(kind).alias(alias)
+
+        part = frame.select(
+            F.lit(name).alias("report"), column("doc_id", "string", "doc_id"), column("line_no", "long", "line_no"),
+            column("part_id", "long", "part_id"), column(value, "string", "value"), column(other, "string", "other"),
+            *[column(c, "long", c) for c in ("document_count", "first_row", "last_row")],
+        )
+        united = part if united is None else united.unionByName(part)
+    return united
+
+
 @query(
     "ingestion_summary",
     """

@@ -21,37 +21,43 @@ TRACE_KEYS = ("Document Number", "BELNR", "VBELN", "AWKEY")
 def upstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """(start, node, depth): everything each start depends on, itself at depth 0.
 
-    ``edges`` is (child, parent), ``starts`` is (node). Jumps double: those of a
-    round lead over all ways of up to twice as many edges as those before, with
-    the shortest length, and extend what the starts have reached. A round covers
-    every way up to a known length, so the search ends once the deepest node is
-    nearer than that; a chain of a thousand takes ten rounds. Jumps and reached
-    nodes are reduced to one row a pair, on the map side first, and
-    checkpointed, so plans stay short and cycles add nothing.
+    ``edges`` is (child, parent), ``starts`` is (node). Every way of up to a
+    known length is covered after a round, so only nodes at just that depth can
+    lead further. They are taken on by jumps, the shortest lengths of all ways of
+    up to twice as many edges as in the round before; a chain of a thousand
+    takes eleven rounds. Jumps and reached nodes are reduced to one row a pair,
+    on the map side first, and checkpointed, so plans stay short and cycles end.
     """
     one = F.lit(1).alias("steps")
     jumps = checkpoint(edges.where(F.col("child") != F.col("parent")).select("child", "parent", one).distinct())
     seen = starts.select(F.col("node").alias("start"), "node").distinct().withColumn("depth", F.lit(0))
-    covered, length = 0, 1
+    last, covered, length = seen, 0, 1
     while True:
         further = (
-            seen.select("start", F.col("node").alias("child"), "depth")
+            last.select("start", F.col("node").alias("child"), "depth")
             .join(jumps, "child")
             .select("start", F.col("parent").alias("node"), (F.col("depth") + F.col("steps")).alias("depth"))
         )
         seen = checkpoint(seen.unionByName(further).groupBy("start", "node").agg(F.min("depth").alias("depth")))
         covered += length
-        deepest = seen.agg(F.max("depth")).first()[0]
-        if deepest is None or deepest < covered:
+        last = seen.where(F.col("depth") == covered)
+        if last.isEmpty():
             return seen
-        onward = jumps.select(F.col("child").alias("over"), F.col("parent").alias("to"), F.col("steps").alias("more"))
-        longer = (
-            jumps.join(onward, jumps["parent"] == onward["over"])
-            .where(F.col("child") != F.col("to"))
-            .select("child", F.col("to").alias("parent"), (F.col("steps") + F.col("more")).alias("steps"))
-        )
-        jumps = checkpoint(jumps.unionByName(longer).groupBy("child", "parent").agg(F.min("steps").alias("steps")))
-        length *= 2
+        if covered > 1:
+            jumps = checkpoint(_doubled(jumps, length))
+            length *= 2
+
+
+def _doubled(jumps: DataFrame, length: int) -> DataFrame:
+    """Jumps of up to twice ``length`` steps: a longer one begins with one of just that many."""
+    onward = jumps.select(F.col("child").alias("over"), F.col("parent").alias("to"), F.col("steps").alias("more"))
+    longer = (
+        jumps.where(F.col("steps") == length)
+        .join(onward, F.col("parent") == F.col("over"))
+        .where(F.col("child") != F.col("to"))
+        .select("child", F.col("to").alias("parent"), (F.col("steps") + F.col("more")).alias("steps"))
+    )
+    return jumps.unionByName(longer).groupBy("child", "parent").agg(F.min("steps").alias("steps"))
 
 
 def downstream(edges: DataFrame, starts: DataFrame) -> DataFrame:

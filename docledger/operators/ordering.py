@@ -6,8 +6,8 @@ number rows inside ranges and add the offset of the ranges before.
 
 Positions and totals sort the frame; its layout is checkpointed first, as a
 recomputed sample could shift the ranges between their two uses. Ordinals need
-no sorted frame: the bounds of their ranges are constants of the plan, so every
-use of them agrees, and rows are laid out once by (key, range).
+no sorted frame: the places where hot keys are cut are constants of the plan, so
+every use of them agrees, and rows are laid out once by (key, range).
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docledger.functions import named
 from docledger.session import checkpoint
@@ -70,25 +69,35 @@ def running_total(df: DataFrame, order_by: Sequence[str], amount: str, name: str
     )
 
 
-def range_bounds(df: DataFrame, place: Column, ranges: int) -> Column | None:
-    """Up to ``ranges`` - 1 values of ``place``, ascending, that cut its rows evenly, as one constant.
+def _place(key: Sequence[str], order_by: Sequence[str]) -> Column:
+    """Where a row stands: its key, then its place in the key's group."""
+    k = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(key)])
+    return F.struct(k.alias("k"), F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(order_by)]).alias("o"))
 
-    They come from a sample of bounded size, drawn in one pass over the columns
-    of ``place`` alone. Whatever they are, they only decide how even ranges get.
+
+def range_bounds(df: DataFrame, key: Sequence[str], order_by: Sequence[str], ranges: int) -> Column | None:
+    """Places, ascending and as one constant, at which groups of more than a range's share of the rows are cut.
+
+    Of ``ranges`` - 1 places that cut all rows evenly, those count that share
+    their key with a neighbour. They come from a sample of bounded size, drawn
+    in one pass over the key and order columns alone. Whatever they are, they
+    only decide how even the work gets.
     """
     per = SAMPLED_PER_RANGE
-    sampled = df.select(place.alias("s")).orderBy(F.rand(7)).limit(per * ranges)
+    sampled = df.select(_place(key, order_by).alias("s")).orderBy(F.rand(7)).limit(per * ranges)
     ordered = sampled.agg(F.sort_array(F.collect_list("s")).alias("s"))
-    kind = T.ArrayType(ordered.schema["s"].dataType.elementType)
-    picked = F.array_distinct(F.filter("s", lambda _, i: i % per == per - 1))
-    text = ordered.select(F.to_json(picked)).first()[0]
-    return F.from_json(F.lit(text), kind) if ranges > 1 and text not in (None, "[]") else None
+    cuts = ordered.select(F.array_distinct(F.filter("s", lambda _, i: i % per == per - 1)).alias("s"))
+
+    def same(x: Column, i: Column) -> Column:
+        return F.coalesce(F.get("s", i)["k"] == x["k"], F.lit(False))
+
+    inside = F.filter("s", lambda x, i: same(x, i - 1) | same(x, i + 1))
+    text = cuts.select(F.to_json(inside)).first()[0]
+    return None if text in (None, "[]") else F.from_json(F.lit(text), cuts.schema["s"].dataType)
 
 
-def range_of(place: Column, bounds: Column | None, ranges: int) -> Column:
+def range_of(place: Column, bounds: Column, ranges: int) -> Column:
     """How many bounds are at or below ``place``, by bisection; it never falls as ``place`` rises."""
-    if bounds is None:
-        return F.lit(0)
     steps = F.array(*[F.lit(1 << i) for i in range(ranges.bit_length(), -1, -1)])
     return F.aggregate(
         steps, F.lit(0), lambda low, step: F.when(F.get(bounds, low + step - 1) <= place, low + step).otherwise(low)
@@ -104,25 +113,25 @@ def with_ordinal(
 ) -> DataFrame:
     """1-based ordinal inside each key group, in ``order_by`` order; NULL is a key like any other.
 
-    Rows are numbered inside (key, range), where ranges cut the order of key and
-    ``order_by`` into as many parts as a shuffle has, so a hot key fills as many
-    tasks as it has ranges. The numbers of its earlier ranges are added from a
-    table of those (key, range) pairs that something comes before. A range can
-    continue only one key of the ranges before it, so that table has no more
-    rows than there are ranges and is broadcast.
+    Rows are laid out once, by (key, range), and numbered inside. A key whose
+    group is larger than a task's share, of as many as a shuffle has, is cut into
+    ranges of its order; any other has one. Rows of a later range then get the
+    number of their key's rows in the ranges before it, from a table of those
+    (key, range) pairs: no more than there are ranges, so it is broadcast. Only
+    rows with one key and one place in its order can't be cut apart.
     """
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = [named(c) for c in key]
     order = [named(c) for c in order_by]
-    place = F.struct(*[c.alias(f"c{i}") for i, c in enumerate([*keys, *order])])
-    bounds = range_bounds(df, place, ranges)
-    parts = df.select(
-        "*",
-        F.struct(*[c.alias(f"c{i}") for i, c in enumerate(keys)]).alias("__k"),
-        range_of(place, bounds, ranges).alias("__range"),
-    )
+    bounds = range_bounds(df, key, order_by, ranges)
+    if bounds is None:
+        rows = Window.partitionBy(*[named(c) for c in key]).orderBy(*order)
+        return df.withColumn(name, F.row_number().over(rows).cast("long"))
+    place = _place(key, order_by)
+    parts = df.select("*", place["k"].alias("__k"), range_of(place, bounds, ranges).alias("__range"))
+    at = F.col("__range")
+    is_cut = (F.get(bounds, at - 1)["k"] == F.col("__k")) | (F.get(bounds, at)["k"] == F.col("__k"))
     before = Window.partitionBy("__k").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = parts.groupBy("__k", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    counts = parts.where(is_cut).groupBy("__k", "__range").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         F.col("__k").alias("__ok"), F.col("__range").alias("__or"), F.sum("__n").over(before).alias("__before")
     ).where("__before > 0")

@@ -62,21 +62,28 @@ def test_a_hot_key_is_spread_and_wide_rows_move_once(spark):
         "id", F.md5(F.col("id").cast("string")).alias("wide"),
     )
     placed = with_ordinal(df, ["k"], ["id"], ranges=32)
-    plan = placed._jdf.queryExecution().optimizedPlan().toString()
-    assert "wide" in plan and "Sample" not in plan
-    laid = df.select("*", range_of(F.struct("k", "id"), range_bounds(df, F.struct("k", "id"), 32), 32).alias("r"))
-    sizes = laid.groupBy("r").count().collect()
+    bounds = range_bounds(df, ["k"], ["id"], 32)
+    place = F.struct(F.struct(F.col("k").alias("c0")).alias("k"), F.struct(F.col("id").alias("c0")).alias("o"))
+    laid = df.select("*", range_of(place, bounds, 32).alias("r"))
     hot = laid.where("k = 'hot'").groupBy("r").count().collect()
-    assert len(hot) >= 8 and max(r["count"] for r in sizes) < 40_000 / 32 * 3
+    assert len(hot) >= 8 and max(r["count"] for r in hot) < 40_000 / 32 * 3
+    assert laid.where("k <> 'hot'").groupBy("k").agg(F.count_distinct("r").alias("n")).where("n > 1").isEmpty()
     assert placed.where("k = 'hot'").agg(F.max("ordinal")).first()[0] == df.where("k = 'hot'").count()
 
 
+def test_small_groups_are_not_cut(spark):
+    df = shuffled(spark, [(f"k{i % 400}", i) for i in range(2_000)], "k string, v int")
+    assert range_bounds(df, ["k"], ["v"], 16) is None
+    plan = with_ordinal(df, ["k"], ["v"], ranges=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" in plan and "Join" not in plan
+
+
 def test_wide_rows_have_one_exchange(spark):
     before = spark.conf.get("spark.sql.adaptive.enabled")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         df = spark.range(100).select((F.col("id") % 3).alias("k"), "id", F.md5(F.col("id").cast("string")).alias("wide"))
-        plan = with_ordinal(df, ["k"], ["id"])._jdf.queryExecution().executedPlan()
+        plan = with_ordinal(df, ["k"], ["id"], ranges=16)._jdf.queryExecution().executedPlan()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
     text = plan.toString()

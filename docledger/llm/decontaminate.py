@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docledger.llm.words import unused
 from docledger.session import checkpoint
 
 SHINGLE_WORDS = 5
@@ -141,7 +142,8 @@ def contaminated(
 def without_contaminated(docs: DataFrame, items: DataFrame, words: int = SHINGLE_WORDS, percent: int = LEAST_PERCENT) -> DataFrame:
     """The documents that hold no item, with the columns they came with."""
     found = checkpoint(contaminated(docs, items, words, percent).select("doc_key").distinct())
+    key = unused(docs, "found_key__")
     return docs.join(
-        _small(found.withColumnRenamed("doc_key", "found_key__"), found.count(), BROADCAST_CANDIDATES),
-        _key(docs["doc_id"], docs["text"]) == F.col("found_key__"), "left_anti",
+        _small(found.withColumnRenamed("doc_key", key), found.count(), BROADCAST_CANDIDATES),
+        _key(docs["doc_id"], docs["text"]) == F.col(key), "left_anti",
     )

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm.components import components
-from docledger.llm.words import mixed, utf8_rows, window_hashes, word_hashes, written
+from docledger.llm.words import mixed, unused, utf8_rows, window_hashes, word_hashes, written
 from docledger.session import checkpoint
 
 ORDERS = 2
@@ -426,9 +426,10 @@ def one_of_each(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     worded = found.where(F.col("n_shingles") > 0)
     best = worded.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_id")).alias("best"))
     gone = worded.select("row_id").distinct().join(best.select(F.col("best.row_id").alias("row_id")), "row_id", "left_anti")
-    gone = checkpoint(gone.withColumnRenamed("row_id", "gone_id__"))
+    name = unused(docs, "gone_id__")
+    gone = checkpoint(gone.withColumnRenamed("row_id", name))
     few = gone.count() <= BROADCAST_NODES
-    left = docs.join(F.broadcast(gone) if few else gone, F.xxhash64(docs["doc_id"], docs["text"]) == F.col("gone_id__"), "left_anti")
+    left = docs.join(F.broadcast(gone) if few else gone, F.xxhash64(docs["doc_id"], docs["text"]) == F.col(name), "left_anti")
     if worded.groupBy("row_id").count().where("count > 1").limit(1).count():
         left = left.dropDuplicates(["doc_id", "text"])
     return left

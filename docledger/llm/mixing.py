@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docledger.llm.words import count_words
+from docledger.llm.words import count_words, own_columns, unused
 from docledger.session import checkpoint
 
 DEFAULT_WEIGHTS = (5, 2, 1)
@@ -103,16 +103,14 @@ def mix(docs: DataFrame, weights=DEFAULT_WEIGHTS, cap: int = DEFAULT_CAP, seed:
     """
     sizes = docs.select("source", count_words(F.col("text")).alias("size"))
     targets = checkpoint(source_targets(sizes, weights, cap))
-    known = targets.select(
-        F.col("source").alias("mix_source__"), F.struct("source_size", "target").alias("mix_rate__")
-    )
+    of, rated, copy = (unused(docs, name) for name in ("mix_source__", "mix_rate__", "mix_copy__"))
+    known = targets.select(F.col("source").alias(of), F.struct("source_size", "target").alias(rated))
     if targets.count() <= BROADCAST_SOURCES:
         known = F.broadcast(known)
-    joined = docs.join(known, docs["source"].eqNullSafe(known["mix_source__"]), "left")
-    rate = F.when(
-        F.col("mix_rate__.source_size") > 0, F.col("mix_rate__.target") / F.col("mix_rate__.source_size")
-    ).otherwise(F.lit(0.0))
+    joined = docs.join(known, docs["source"].eqNullSafe(known[of]), "left")
+    size, target = known[rated]["source_size"], known[rated]["target"]
+    rate = F.when(size > 0, target / size).otherwise(F.lit(0.0))
     draw = uniform(seed, docs["doc_id"], docs["text"])
     times = (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("int")
-    each = F.explode(F.array_repeat(F.lit(0), times)).alias("mix_copy__")
-    return joined.select(*[docs[c] for c in docs.columns], each).drop("mix_copy__")
+    each = F.explode(F.array_repeat(F.lit(0), times)).alias(copy)
+    return joined.select(*own_columns(docs), each).drop(copy)

@@ -61,6 +61,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a working column that the table doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The table's columns by their exact names, whatever characters these hold."""
+    return [df["`" + c.replace("`", "``") + "`"] for c in df.columns]
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser, so that every input bit moves every output bit."""
     x = values.astype(np.uint64, copy=True)
@@ -72,20 +85,8 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
-_POWERS = np.ones(1, dtype=np.uint64)
-_INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
-_INVERSES = np.ones(1, dtype=np.uint64)
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _POWERS, _INVERSES
-    if len(_POWERS) < n:
-        size = 1 << int(n - 1).bit_length()
-        steps = np.full(size, _MULTIPLIER, dtype=np.uint64)
-        back = np.full(size, _INVERSE, dtype=np.uint64)
-        steps[0] = back[0] = 1
-        _POWERS, _INVERSES = np.multiply.accumulate(steps), np.multiply.accumulate(back)
-    return _POWERS, _INVERSES
+_TABLE_BYTES = 64  # places in a word that have numbers of their own
+_TABLE = mixed((np.arange(_TABLE_BYTES * 256, dtype=np.uint64) + np.uint64(1)) * _MULTIPLIER)
 
 
 def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -97,18 +98,29 @@ def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def word_hashes(data: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and 64-bit hashes of the words in the UTF-8 bytes of one text.
 
-    The hash of a word is a polynomial of its bytes, taken as a difference of
-    running sums, so a text of any length costs a handful of array passes.
+    Every byte at every place of a word has a random number; a word's hash mixes
+    the sum of its bytes' numbers. Long words use the table again, mixed with how
+    often it was used. No pattern of bytes makes such sums equal.
     """
     starts, ends = word_spans(data)
     if not len(starts):
         return starts, ends, np.empty(0, dtype=np.uint64)
-    powers, inverses = _powers(len(data) + 1)
-    values = (_LOWER[data] if lower else data).astype(np.uint64)
-    values += np.uint64(1)
-    values *= powers[: len(data)]
-    sums = np.concatenate((np.zeros(1, dtype=np.uint64), np.cumsum(values, dtype=np.uint64)))
-    return starts, ends, mixed((sums[ends] - sums[starts]) * inverses[starts])
+    lengths = ends - starts
+    begins = np.concatenate((np.zeros(1, dtype=np.int64), np.cumsum(lengths)[:-1]))
+    letters = data[~_SPACE[data]]
+    if lower:
+        letters = _LOWER[letters]
+    place = np.arange(len(letters), dtype=np.int32)
+    place -= np.repeat(begins.astype(np.int32), lengths)
+    far = np.flatnonzero(place >= _TABLE_BYTES) if int(lengths.max()) > _TABLE_BYTES else None
+    again = place[far] // _TABLE_BYTES if far is not None else None
+    place &= np.int32(_TABLE_BYTES - 1)
+    place <<= np.int32(8)
+    place |= letters
+    numbers = _TABLE[place]
+    if far is not None:
+        numbers[far] = mixed(numbers[far] + again.astype(np.uint64) * _WORD_STEP)
+    return starts, ends, mixed(np.add.reduceat(numbers, begins))
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:

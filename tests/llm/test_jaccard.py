@@ -83,6 +83,17 @@ def test_large_families_give_the_same(spark, monkeypatch, nodes, shingles):
     assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=key) == sorted(brute(rows, 4, 85), key=key)
 
 
+def test_words_that_fool_polynomials_are_told_apart(spark):
+    word = "a"
+    while len(word) < 1_024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rows = [(1, word), (2, other), (3, word + " x y z"), (4, other + " x y z"), (5, word * 3), (6, other * 3), (7, word.upper())]
+    found = jaccard.jaccard_components(documents(spark, rows), bits=12).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in found) == sorted(brute(rows, 4, 85))
+    assert {r.component_id for r in found} == {1, 2, 3, 4, 5, 6}
+
+
 def test_one_of_each(spark):
     rows = corpus()
     docs = documents(spark, rows)

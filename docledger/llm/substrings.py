@@ -10,10 +10,11 @@ Most minimisers occur once in the corpus, and none of their windows can repeat.
 So narrow rows, minimiser and text, are counted first, and only windows whose
 minimiser occurs again are packed. Equal texts are one text with a number of
 copies from the start: all their windows repeat. A minimiser with more than
-``HOT`` places would fill one bucket. Its runs of windows go as hashes instead:
-equal runs, as inside a passage that many texts share, combine to one with a
-count before the shuffle, and the windows of the different ones are counted by
-an ordinary aggregate whose key is the window, so they spread over all tasks.
+``HOT`` places would fill one bucket. Its strings are first reduced to different
+ones with a count, as inside a passage that many texts share most are equal, and
+are then cut again by longer minimisers, ``LONGER`` words, which deal them to
+many more buckets; strings of buckets that stay crowded are cut by their windows
+themselves. Buckets are sorted and counted alike on every level.
 
 Texts are shuffled once; that exchange serves the count, the packing and the
 removal, as one plan without a checkpoint between them.
@@ -41,6 +42,7 @@ from docledger.llm.words import utf8_rows, window_hashes, word_hashes, word_span
 WINDOW = 35
 SEED_WORDS = 8
 HOT = 5_000  # strings in a bucket: under two megabytes
+LONGER = 20  # words of a second minimiser
 MOST_WINDOWS = 512
 _BLANK = np.uint8(0x20)
 
@@ -141,36 +143,102 @@ def _packed(window: int, seed_words: int):
     return pack
 
 
-def _hot_runs(window: int, seed_words: int):
-    """Runs of windows of the hot minimisers: key, digest of the run, t, first window, window hashes."""
+def _digest(words: bytes) -> bytes:
+    return hashlib.blake2b(words, digest_size=16).digest()
 
-    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _strings(data: np.ndarray, window: int, seed_words: int, wanted: np.ndarray | None):
+    """Super-k-mers of a text, those of the ``wanted`` minimisers: minimiser, first window, words."""
+    starts, ends, words = word_hashes(data)
+    least, _ = minimisers(words, window, seed_words)
+    if not len(least):
+        return
+    first, after = _runs(least)
+    keys = least[first].view(np.int64)
+    whole = data.tobytes() + b" "
+    for at in range(len(first)) if wanted is None else np.flatnonzero(np.isin(keys, wanted)).tolist():
+        a, b = int(first[at]), int(after[at])
+        yield int(keys[at]), a, whole[starts[a] : ends[b + window - 2] + 1]
+
+
+def _hot_strings(window: int, seed_words: int):
+    """Super-k-mers of the hot minimisers: run (a digest of the words), t, first window, words."""
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, asked = batch.column("t").to_numpy(), batch.column("hot")
-            out = {name: [] for name in ("key", "run", "t", "first", "hashes")}
-            for row, data in enumerate(utf8_rows(batch.column("text"))):
-                words = word_hashes(data)[2]
-                least, _ = minimisers(words, window, seed_words)
-                first, after = _runs(least)
-                among = np.flatnonzero(np.isin(least[first].view(np.int64), asked[row].values.to_numpy()))
-                hashes = window_hashes(words, window).view(np.int64)
-                for at in among:
-                    part = hashes[first[at] : after[at]]
-                    out["hashes"].append(part)
-                    out["run"].append(int.from_bytes(hashlib.blake2b(part.tobytes(), digest_size=8).digest(), "little", signed=True))
-                out["key"].append(least[first[among]].view(np.int64))
-                out["t"].append(np.full(len(among), ids[row]))
-                out["first"].append(first[among].astype(np.int32))
+            ids, asked = batch.column("t").to_pylist(), batch.column("hot")
+            rows = [
+                (_digest(words), t, first, words)
+                for row, (t, data) in enumerate(zip(ids, utf8_rows(batch.column("text")), strict=True))
+                for _, first, words in _strings(_normal(data), window, seed_words, asked[row].values.to_numpy())
+            ]
+            run, t, first, words = zip(*rows, strict=True) if rows else [()] * 4
             yield pa.RecordBatch.from_pydict(
-                {name: np.concatenate(out[name]) for name in ("key", "t", "first")}
-                | {"run": pa.array(out["run"], pa.int64()), "hashes": pa.array(out["hashes"], pa.list_(pa.int64()))}
-            ).select(["key", "run", "t", "first", "hashes"])
+                {
+                    "run": pa.array(run, pa.binary()), "t": pa.array(t, pa.int64()), "first": pa.array(first, pa.int32()),
+                    "words": pa.array(words, pa.binary()),
+                }
+            )
 
-    return runs
+    return strings
 
 
-def _counted(window: int, at_once: int = 4_000):
-    """Runs of repeated windows from rows sorted by bucket: t, first and end in words."""
+def _parts(window: int, seed_words: int):
+    """Strings cut by longer minimisers: run, offset of the part in it, key, part (a digest), n, words."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [
+                (run, first, key, _digest(words), n, words)
+                for run, n, string in zip(*[batch.column(c).to_pylist() for c in ("run", "n", "words")], strict=True)
+                for key, first, words in _strings(np.frombuffer(string, dtype=np.uint8)[:-1], window, seed_words, None)
+            ]
+            run, offset, key, part, n, words = zip(*rows, strict=True) if rows else [()] * 6
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "run": pa.array(run, pa.binary()), "offset": pa.array(offset, pa.int32()), "key": pa.array(key, pa.int64()),
+                    "part": pa.array(part, pa.binary()), "n": pa.array(n, pa.int64()), "words": pa.array(words, pa.binary()),
+                }
+            )
+
+    return cut
+
+
+def _marks_of(strings: DataFrame, window: int, seeds: tuple[int, ...], hot: int) -> DataFrame:
+    """run, first, end: stretches of repeated windows in strings that are there ``n`` times each.
+
+    Strings are cut by minimisers of the first of ``seeds``, equal parts become
+    one with their count, and the parts of a bucket are sorted and counted; those
+    of crowded buckets are cut by the next of ``seeds``.
+    """
+    parts = strings.mapInArrow(
+        _parts(window, seeds[0]), "run binary, offset int, key long, part binary, n long, words binary"
+    )
+    different = (
+        parts.groupBy("key", "part").agg(F.first("words").alias("words"), F.sum("n").alias("n")).withColumnRenamed("part", "run")
+    )
+    calm, found = different, None
+    if len(seeds) > 1:
+        crowded = different.groupBy("key").count().where(F.col("count") > hot).select(F.col("key").alias("key__"))
+        full = different["key"].eqNullSafe(crowded["key__"])
+        calm = different.join(crowded, full, "left_anti")
+        found = _marks_of(different.join(crowded, full, "left_semi"), window, seeds[1:], hot)
+    counted = (
+        calm.withColumn("first", F.lit(0)).repartition("key").sortWithinPartitions("key")
+        .mapInArrow(_counted(window, "run"), "run binary, first int, end int")
+    )
+    found = counted if found is None else counted.unionByName(found)
+    listed = found.groupBy("run").agg(F.collect_list(F.struct("first", "end")).alias("marks")).withColumnRenamed("run", "part")
+    placed = _matched(parts.select("run", "offset", "part"), listed, "part").select("run", "offset", F.explode("marks").alias("m"))
+    moved = [(F.col("offset") + F.col("m")[c]).alias(c) for c in ("first", "end")]
+    return placed.select("run", *moved)
+
+
+def _counted(window: int, name: str = "t", at_once: int = 4_000):
+    """Runs of repeated windows from rows sorted by bucket: the row's name, first and end in words.
+
+    A row counts as often as its ``n`` says, once without one.
+    """
 
     def whole_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         held: list[pa.RecordBatch] = []
@@ -193,7 +261,8 @@ def _counted(window: int, at_once: int = 4_000):
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_buckets(batches):
-            keys, texts, firsts = (table[c].to_numpy() for c in ("key", "t", "first"))
+            keys, firsts = (table[c].to_numpy() for c in ("key", "first"))
+            times = table["n"].to_numpy() if "n" in table.column_names else np.ones(len(keys), dtype=np.int64)
             packed = table["words"].combine_chunks()
             packed = packed.chunk(0) if isinstance(packed, pa.ChunkedArray) else packed
             offsets = np.frombuffer(packed.buffers()[1], dtype=np.int32)[packed.offset : packed.offset + len(packed) + 1]
@@ -208,7 +277,7 @@ def _counted(window: int, at_once: int = 4_000):
             order = np.lexsort((every, keys[row]))
             same = np.concatenate(([False], (every[order][1:] == every[order][:-1]) & (keys[row][order][1:] == keys[row][order][:-1])))
             group = np.cumsum(~same) - 1
-            total = np.bincount(group)
+            total = np.bincount(group, weights=times[row][order])
             repeated = np.zeros(len(every), dtype=bool)
             repeated[order] = total[group] >= 2
             at = np.flatnonzero(repeated)
@@ -219,7 +288,7 @@ def _counted(window: int, at_once: int = 4_000):
             b = at[np.concatenate((starts[1:], [True]))]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "t": texts[row[a]],
+                    name: table[name].combine_chunks().take(pa.array(row[a])),
                     "first": (firsts[row[a]] + place[a]).astype(np.int32),
                     "end": (firsts[row[b]] + place[b] + window).astype(np.int32),
                 }
@@ -307,18 +376,15 @@ def without_repeats(
     cold = packed.repartition("key").sortWithinPartitions("key").mapInArrow(
         _counted(window), "t long, first int, end int"
     )
-    runs = wanted.where(F.size("hot") > 0).mapInArrow(
-        _hot_runs(window, seed_words), "key long, run long, t long, first int, hashes array<long>"
-    )
-    windows = (
-        runs.groupBy("key", "run").agg(F.first("hashes").alias("hashes"), F.count("*").alias("n"))
-        .select("key", "run", "n", F.posexplode("hashes").alias("place", "hash"))
+    strings = wanted.where(F.size("hot") > 0).mapInArrow(
+        _hot_strings(window, seed_words), "run binary, t long, first int, words binary"
     )
-    often = windows.groupBy("key", "hash").agg(F.sum("n").alias("n")).where(F.col("n") > 1).select("key", "hash")
-    again = _matched(windows, often, "key", "hash").groupBy("key", "run").agg(F.collect_list("place").alias("places"))
-    begin = lambda place: F.col("first") + place
-    warm = _matched(runs.select("key", "run", "t", "first"), again, "key", "run").select(
-        "t", F.transform("places", lambda p: F.struct(begin(p).alias("first"), (begin(p) + window).alias("end"))).alias("marks")
+    different = strings.groupBy("run").agg(F.first("words").alias("words"), F.count("*").alias("n"))
+    repeated = _marks_of(different, window, (min(LONGER, window), window), hot)
+    again = repeated.groupBy("run").agg(F.collect_list(F.struct("first", "end")).alias("marks"))
+    begin = lambda mark, c: (F.col("first") + mark[c]).alias(c)
+    warm = _matched(strings.select("run", "t", "first"), again, "run").select(
+        "t", F.transform("marks", lambda m: F.struct(begin(m, "first"), begin(m, "end"))).alias("marks")
     )
     marks = (
         cold.select("t", F.array(F.struct("first", "end")).alias("marks")).unionByName(warm)

@@ -36,6 +36,18 @@ def test_same_words_go_as_by_brute_force(spark, hot):
     assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in found) == brute(rows)
 
 
+def test_words_that_fool_polynomials_are_told_apart(spark):
+    """Thue-Morse words and their complements have one polynomial hash, whatever its odd multiplier."""
+    word = "a"
+    while len(word) < 1_024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    rest = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{word} {rest}"), (2, f"{other} {rest}"), (3, f"{word} {rest} x"), (4, f"{other * 2} {rest}"), (5, f"{word * 2} {rest}")]
+    found = substrings.without_repeats(documents(spark, rows), with_text=True).collect()
+    assert sorted((str(r.doc_id), r.n_words, r.n_removed, r.kept_sha256, r.kept) for r in found) == brute(rows)
+
+
 def test_texts_cross_batches(spark):
     rows = [(i, prose(i % 40, 50) + " " + prose(1000 + i, 30)) for i in range(160)]
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")

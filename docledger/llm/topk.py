@@ -12,7 +12,8 @@ Defined results: a vector that is null or has a null or non-finite component
 takes no part; vectors are compared with those of the same length only; equal
 scores go to the smaller id; a row is never its own candidate, a repeated row
 is; fewer candidates than k give fewer rows; an empty table gives none; other
-columns are ignored. Components beyond 2**31 / scale are outside the contract.
+columns are ignored. Components so large that a score may not fit a 64-bit
+integer end the run with an error.
 """
 
 from __future__ import annotations
@@ -34,15 +35,22 @@ DIMENSIONS_AT_ONCE = 16
 def integer_codes(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     vector = F.col(vector_col)
     finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x.cast("double")) < F.lit(float("inf"))))
+    too_large = F.raise_error(F.lit("a component is too large for integer scores")).cast("long")
+
+    def code(x: Column) -> Column:
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < float(1 << 62), F.floor(scaled).cast("long")).otherwise(too_large)
+
     return vectors.where(vector.isNotNull() & F.col(id_col).isNotNull() & finite).select(
-        F.col(id_col).cast("long").alias("vec_id"),
-        F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("codes"),
+        F.col(id_col).cast("long").alias("vec_id"), F.transform(vector, code).alias("codes")
     )
 
 
 def _exact_type(queries: np.ndarray, candidates: np.ndarray):
     """The narrowest float in which every partial sum is a whole number, exactly."""
     most = int(np.abs(queries).max(initial=0)) * int(np.abs(candidates).max(initial=0)) * max(1, queries.shape[1])
+    if most >= 1 << 63:
+        raise OverflowError("a score may not fit a 64-bit integer")
     return np.float32 if most < 1 << 23 else np.float64 if most < 1 << 52 else np.int64
 
 

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from docledger.llm import topk
@@ -43,6 +44,13 @@ def test_large_components_stay_exact(spark):
     assert sorted(tuple(r) for r in found.collect()) == brute(rows)
 
 
+@pytest.mark.parametrize("size", [1e10, 1e300])
+def test_scores_that_no_long_holds_are_an_error(spark, size):
+    vectors = spark.createDataFrame([(i * 20, [size, size / 3]) for i in range(4)], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64-bit|too large"):
+        topk.exact_top_k(vectors, F.col("vec_id") % 20 == 0).collect()
+
+
 def test_empty(spark):
     vectors = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.exact_top_k(vectors, F.col("vec_id") % 20 == 0).collect() == []

@@ -161,10 +161,12 @@ def fit(docs: DataFrame, may_learn: Column, per_label: int = PER_LABEL, seed: in
     """Learn from rows for which ``may_learn`` holds and whose lang is not null.
 
     Labels are counted over all rows; a hash of the id then picks about
-    ``per_label`` documents of each of the ``MOST_LABELS`` most frequent labels.
+    ``per_label`` documents of each label. More labels than ``MOST_LABELS`` are an error.
     """
     learnable = docs.where(may_learn & F.col("lang").isNotNull())
-    counts = learnable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS).collect()
+    counts = learnable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LABELS + 1).collect()
+    if len(counts) > MOST_LABELS:
+        raise ValueError(f"more than {MOST_LABELS} labels; a model of {BUCKETS} buckets a label would outgrow a task")
     if not counts:
         return train([])
     share = F.element_at(F.create_map(*[x for r in counts for x in (F.lit(r["lang"]), F.lit(min(1.0, per_label / r["count"])))]), F.col("lang"))
@@ -206,11 +208,19 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents whose language the model accepts, with the columns they came with."""
+    """The documents whose language the model accepts, with the columns they came with.
 
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [model.probabilities(text.as_py()) for text in batch.column("text")]
-            yield batch.filter(pa.array([p is not None and bool(p.max() >= model.least) for p in found], pa.bool_()))
+    A predicate goes to Python and back with the text alone; the rows stay where they are.
+    """
+    accepts = F.arrow_udf(_accepts(model), "boolean")
+    return docs.where(accepts(F.coalesce(docs["text"], F.lit(""))))
+
+
+def _accepts(model: LanguageModel):
+    def accepts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            found = (model.probabilities(text.as_py()) for text in texts)
+            yield pa.array([p is not None and bool(p.max() >= model.least) for p in found], pa.bool_())
 
-    return docs.mapInArrow(keep, docs.schema)
+    accepts.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return accepts

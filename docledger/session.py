@@ -16,7 +16,8 @@ def build_session(app_name: str = "docledger", master: str | None = None, **conf
     the JVM still compiles, and then run interpreted. The method limit makes
     such a stage fall back to per-operator code, which stays compiled. Joins may
     hash instead of sort once every partition of the smaller side has been
-    measured below the local-map threshold.
+    measured below the local-map threshold. Checkpoints go when nothing refers to
+    them any more.
     Shuffle width is left to the cluster's own settings; pass it in ``conf``
     (``**{"spark.sql.shuffle.partitions": "8"}``) for a laptop run.
     """
@@ -26,6 +27,7 @@ def build_session(app_name: str = "docledger", master: str | None = None, **conf
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "64MB")
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
     )
     if master:

@@ -198,8 +198,8 @@ def attach_layer(spark: SparkSession, layer: str, places: Mapping[str, str], hom
     ``places`` has the folder of each table; ``home`` is where the catalog may
     keep the schema's own folder. A table that is attached again points to its new place.
     """
-    schema = quoted(layer)
-    spark.sql(f"create schema if not exists {schema} location '{home}/{layer}'")
+    schema, place = quoted(layer), f"{home}/{layer}".replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"create schema if not exists {schema} location '{place}'")
     for name, path in places.items():
         spark.sql(f"create or replace view {schema}.{quoted(name)} as select * from parquet.{quoted(path)}")
 

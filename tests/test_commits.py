@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from docledger.plans.models import Project, drop_unpublished, published
+from docledger.plans.models import Project, attach_published, drop_unpublished, published
 from docledger.sources import commits, sinks
 from docledger.sources.sinks import write_register
 
@@ -104,6 +104,21 @@ def test_a_run_that_fails_half_way_leaves_the_last_good_tables(spark, tmp_path):
     assert [e["run"] for e in entries] == [1, 2]
 
 
+def test_published_tables_have_sql_names_and_are_read_only(spark, tmp_path):
+    root = str(tmp_path / "it's here")
+    made = Project()
+    made.add("y", "one", ["raw.t"], lambda t: t)
+    made.run(spark, {"raw.t": frame(spark, 4)}, root)
+    assert attach_published(spark, root) == ["s_y.one"]
+    assert spark.sql("select count(*) from s_y.one").first()[0] == 4
+    with pytest.raises(Exception, match="(?i)view|insert"):
+        spark.sql("insert into s_y.one values (1)")
+    made.run(spark, {"raw.t": frame(spark, 6)}, root)
+    attach_published(spark, root)
+    assert spark.table("s_y.one").count() == 6
+    spark.sql("drop schema s_y cascade")
+
+
 def test_sinks_keep_their_modes(spark, tmp_path):
     path = str(tmp_path / "table")
     sinks.write_register(frame(spark, 2), path, mode="ignore")

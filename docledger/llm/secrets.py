@@ -13,7 +13,8 @@ has a bounded number of rows at any size. Tokens that don't fail are spans of
 kind ``random``; base spans stay, and a random span never overlaps one.
 
 Everything is SQL functions. Positions are code points, end exclusive; they
-are sums of the lengths of matches and of the text between them.
+are sums of the lengths of matches and of the text between them. Tokens need a
+letter and a digit to be tested: without a digit nothing is called random.
 
 Defined results: null and empty texts have no span; repeated rows and rows with
 a null id are judged one by one; a table without candidates has no threshold
@@ -48,23 +49,63 @@ ALPHABETS = {
 }
 
 
+_SPAN_LIST = "array<struct<start:int,end:int,match:string>>"
+_BISECTION = [1 << i for i in range(27, -1, -1)]
+
+
 def _spans(text: Column, pattern: str) -> Column:
-    """Array of (start, end, match) of the leftmost non-overlapping matches."""
+    """Array of (start, end, match) of the leftmost non-overlapping matches.
+
+    Places are running sums. An array that grows step by step is copied at every
+    step, so they are summed within blocks of about the square root of the
+    matches, and the blocks' sums are added after.
+    """
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
-    zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<start:int,end:int,match:string>>)").alias("out"))
+    none = F.expr(f"cast(array() as {_SPAN_LIST})")
+    pairs = F.zip_with(
+        matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, p: F.struct(F.length(p).alias("piece"), m.alias("match"))
+    )
 
     def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + F.length(pair["piece"])
+        start = state["at"] + pair["piece"]
         end = start + F.length(pair["match"])
         span = F.struct(start.alias("start"), end.alias("end"), pair["match"].alias("match"))
         return F.struct(end.alias("at"), F.array_append(state["out"], span).alias("out"))
 
-    pairs = F.zip_with(
-        matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, p: F.struct(p.alias("piece"), m.alias("match"))
+    def added(state: Column, block: Column) -> Column:
+        return F.struct((state["at"] + block["at"]).alias("at"), F.array_append(state["out"], state["at"]).alias("out"))
+
+    def blocks(pairs: Column) -> Column:
+        of = F.ceil(F.sqrt(F.size(pairs).cast("double"))).cast("int")
+        firsts = F.sequence(F.lit(1), F.size(pairs), of)
+        zero = F.struct(F.lit(0).alias("at"), none.alias("out"))
+        return F.transform(firsts, lambda first: F.aggregate(F.slice(pairs, first, of), zero, step))
+
+    def moved(found: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<int>)").alias("out"))
+        before = F.aggregate(found, zero, added, lambda state: state["out"])
+
+        def shift(block: Column, by: Column) -> Column:
+            return F.transform(
+                block["out"],
+                lambda s: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match")),
+            )
+
+        return F.flatten(F.zip_with(found, before, shift))
+
+    # One lambda a step binds what is used more than once.
+    found = F.flatten(F.transform(F.array(pairs), lambda p: F.flatten(F.transform(F.array(blocks(p)), moved))))
+    return F.when(text.rlike(pattern), found).otherwise(none)
+
+
+def _apart(span: Column, others: Column) -> Column:
+    """Whether the span meets none of ``others``, which are in order and don't overlap: the last that begins before its end decides."""
+    steps = F.array(*[F.lit(i) for i in _BISECTION])
+    before = F.aggregate(
+        steps, F.lit(0), lambda low, step: F.when(F.get(others, low + step - 1)["start"] < span["end"], low + step).otherwise(low)
     )
-    found = F.aggregate(pairs, zero, step, lambda state: state["out"])
-    return F.when(text.rlike(pattern), found).otherwise(zero["out"])
+    return F.coalesce(F.get(others, before - 1)["end"] <= span["start"], F.lit(True))
 
 
 def _tail(z: Column) -> Column:
@@ -176,11 +217,11 @@ def find_secrets(docs: DataFrame, rate: float = DEFAULT_RATE) -> DataFrame:
         name, lambda s: F.struct(s["start"], F.lit(place).alias("place"), F.lit(name).alias("kind"), s["end"])
     )
     base = F.array_sort(F.concat(kind("assign", 1), kind("access", 2), kind("hex", 3)))
-    apart = lambda s, b: (s["end"] <= b["start"]) | (s["start"] >= b["end"])
+    alone = lambda s: _apart(s, F.col("assign")) & _apart(s, F.col("access")) & _apart(s, F.col("hex"))
     found = checkpoint(
-        found.select("doc_id", base.alias("base"), "tokens").withColumn(
-            "tokens", F.filter("tokens", lambda s: F.forall("base", lambda b: apart(s, b)))
-        ).withColumn("row", F.monotonically_increasing_id())
+        found.select("doc_id", base.alias("base"), F.filter("tokens", alone).alias("tokens")).withColumn(
+            "row", F.monotonically_increasing_id()
+        )
     )
     each = found.select("row", F.explode("tokens").alias("span")).select("row", "span.start", "span.end", F.col("span.match").alias("token"))
     limits = checkpoint(thresholds(tested(each.select("token").distinct()), rate))

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from material import awkward, documents
 from pyspark.sql import functions as F
@@ -48,6 +49,20 @@ def test_base_spans_and_digests(spark):
             ends = s[3]
 
 
+def test_texts_of_many_matches_take_seconds(spark):
+    rng = random.Random(5)
+    runs = [("%016x" % rng.getrandbits(64)) for _ in range(32_000)]
+    text = " ".join(f"token={r}" if i % 4 == 0 else r for i, r in enumerate(runs))
+    docs = documents(spark, [(1, text), (2, "😀 " + text), (3, "x"), (4, "Zz9" * 9 + " " + " ".join(["q" * 30 + "1"] * 5_000))], partitions=1)
+    docs.count()
+    started = time.perf_counter()
+    found = {r.doc_id: r for r in secrets.find_secrets(docs).collect()}
+    assert time.perf_counter() - started < 60
+    assert [tuple(s) for s in found[1].base] == base(text) and len(found[1].spans) == len(found[1].base)
+    assert [tuple(s) for s in found[2].base] == base("😀 " + text)
+    assert len(found[1].base) == 40_000
+
+
 def test_random_tokens_pass_and_words_do_not(spark):
     rng = random.Random(8)
     alphabet = string.ascii_letters + string.digits + "+/"

@@ -17,6 +17,8 @@ from docledger.session import checkpoint
 # Columns that can hold the traced document number.
 TRACE_KEYS = ("Document Number", "BELNR", "VBELN", "AWKEY")
 
+FEW_NUMBERS = 100_000
+
 
 def upstream(edges: DataFrame, starts: DataFrame) -> DataFrame:
     """(start, node, depth): everything each start depends on, itself at depth 0.
@@ -106,23 +108,47 @@ def matching_rows(df: DataFrame, numbers: DataFrame | str | None, keys: Sequence
     """Rows with a wanted number in any key column the table has; all rows when
     it has none. ``numbers`` is one number or a frame with a ``number`` column.
 
-    Whether a row is wanted depends on its key columns alone. So the values of
-    those are looked for first, all columns in one join, and the rows then join
-    the key combinations that were found: they move once, however many key
-    columns there are, and not at all where the combinations found are few.
+    Whether a row is wanted depends on its key columns alone. A single one joins
+    the numbers as it is. With more, their values are looked for first, all columns
+    in one join, and the rows then join the key combinations that were found: they
+    move once, however many key columns there are, and not at all where what they
+    are joined with is few.
     """
+    if numbers is None or isinstance(numbers, str):
+        return _matching(df, numbers, keys, False)
+    wanted, many = _wanted(numbers)
+    return _matching(df, wanted, keys, many)
+
+
+def _wanted(numbers: DataFrame) -> tuple[DataFrame, bool]:
+    """The different numbers, found once for all tables, and whether they are more than ``FEW_NUMBERS``."""
+    named_so = numbers.select(F.col("number").cast("string").alias("number")).where("number is not null")
+    wanted = checkpoint(named_so.distinct())
+    return wanted, wanted.limit(FEW_NUMBERS + 1).count() > FEW_NUMBERS
+
+
+def _matching(df: DataFrame, numbers: DataFrame | str | None, keys: Sequence[str], many: bool) -> DataFrame:
+    """The rows with one of the different ``numbers``. If these are many, joins hash
+    their narrow side, so the rows need no sort; else Spark goes by measured sizes."""
     present = [c for c in keys if c in df.columns]
     if numbers is None or not present:
         return df
     if isinstance(numbers, str):
         return df.where(reduce(or_, [named(c) == numbers for c in present]))
-    wanted = numbers.select(F.col("number").cast("string").alias("number")).where("number is not null").distinct()
+
+    def narrow(side: DataFrame) -> DataFrame:
+        return side.hint("shuffle_hash") if many else side
+
+    wanted = narrow(numbers.select(F.col("number").alias("__number")))
+    if len(present) == 1:
+        key = df[f"`{present[0]}`"]
+        return df.where(key.isNotNull()).join(wanted, key.cast("string").eqNullSafe(F.col("__number")), "left_semi")
     place = F.struct(*[named(c).cast("string").alias(f"k{i}") for i, c in enumerate(present)])
     values = F.array_distinct(F.array_compact(F.array(*[named(c).cast("string") for c in present])))
     told = df.select(place.alias("__at"), F.explode(values).alias("__value"))
-    found = told.join(wanted, F.col("__value").eqNullSafe(F.col("number")), "left_semi").select("__at").distinct()
+    found = told.join(wanted, F.col("__value").eqNullSafe(F.col("__number")), "left_semi").select("__at").distinct()
     marked = df.withColumn("__place", place)
-    return marked.join(found, F.col("__place").eqNullSafe(F.col("__at")), "left_semi").drop("__place")
+    return marked.join(narrow(found), F.col("__place").eqNullSafe(F.col("__at")), "left_semi").drop("__place")
 
 
 def trace(
@@ -137,9 +163,12 @@ def trace(
     One pass per table of the graph, unioned; the graph itself is the handful
     of models of a project.
     """
+    many = False
+    if numbers is not None and not isinstance(numbers, str):
+        numbers, many = _wanted(numbers)
     traced = None
     for visit, (name, depth) in enumerate(walk(parents, node)):
-        rows = matching_rows(tables[name], numbers, keys)
+        rows = _matching(tables[name], numbers, keys, many)
         part = rows.select(
             F.lit(name).alias("table"),
             F.lit(visit).alias("visit"),

@@ -113,3 +113,23 @@ def test_trace_many_numbers_keeps_each_row_once(spark):
     assert matching_rows(frames["s.export"], numbers).count() == 3
     assert matching_rows(frames["raw.lines"], numbers).count() == 2
     assert trace(frames, PARENTS, "s.export").count() == 6
+
+
+def test_many_numbers_sort_no_rows(spark, monkeypatch):
+    """Rows of one key column go straight to the numbers; many numbers are hashed, never the rows sorted."""
+    monkeypatch.setattr(lineage, "FEW_NUMBERS", 2, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbers = spark.createDataFrame([("7",), ("8",), ("3",), ("7",), (None,)], "number string")
+        frames = tables(spark) | {"one": spark.createDataFrame([("7", 1), ("7", 1), (None, 2), ("9", 3)], "BELNR string, v int")}
+        one, several = matching_rows(frames["one"], numbers), matching_rows(frames["s.export"], numbers)
+        assert [tuple(r) for r in one.collect()] == [("7", 1)] * 2
+        assert sorted(map(tuple, several.collect())) == [("1", "7"), ("3", "3"), ("7", "2"), ("7", "7")]
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in (one, several)]
+        assert [p.count("Join LeftSemi") for p in plans] == [1, 2]
+        physical = [df._jdf.queryExecution().sparkPlan().toString() for df in (one, several)]
+        assert all("SortMergeJoin" not in p for p in physical)
+        assert trace(frames, {"one": []}, "one", numbers).count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm.components import components
-from docledger.llm.words import mixed, unused, utf8_rows, window_hashes, word_hashes, written
+from docledger.llm.words import make_room, mixed, unused, utf8_rows, window_hashes, word_hashes, written
 from docledger.session import checkpoint
 
 ORDERS = 2
@@ -83,6 +83,7 @@ def _measured(width: int, bits: int):
     """Per document its set's size and digests, and per task the counters in slices."""
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         counters = np.zeros(1 << bits, dtype=np.uint32)
         shift = np.uint64(64 - bits)
         for batch in batches:
@@ -163,6 +164,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _prefixes(width: int, percent: int, orders: int, shared_classes, bits: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         classes = shared_classes.value
         shift = np.uint64(64 - bits)
         seen: set[int] = set()
@@ -315,6 +317,7 @@ def _resolved(percent: int):
 
 def _sets(width: int):
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make_room()
         for batch in _parts(batches):
             rows = [shingle_set(data, width).view(np.int64) for data in utf8_rows(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(rows, pa.list_(pa.int64()))})

@@ -42,6 +42,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from docledger.llm.words import kept_between_tasks
+
 END_ID = 2
 BLOCK_BYTES = 1 << 20
 SAMPLE_DOCUMENTS = 1_000
@@ -57,7 +59,7 @@ _WHITE = [chr(c) for c in range(0x3001) if chr(c).isspace()]
 _OTHER_WHITE = [c for c in _WHITE if c.isascii() and c != " "]
 _MARKS = {".", ","}
 _WIDE_WHITE = [c for c in _WHITE if not c.isascii()]
-_ENCODERS: dict[str, PieceEncoder] = {}
+_ENCODERS: dict[str, PieceEncoder] = kept_between_tasks({})
 
 
 class PieceEncoder:
@@ -168,9 +170,10 @@ def _encoder(path: str) -> PieceEncoder:
     return _ENCODERS[path]
 
 
-def _some(values: list, n: int = 64) -> Iterator[list]:
-    for start in range(0, len(values), n):
-        yield values[start : start + n]
+def _some(texts: pa.Array, n: int = 64) -> Iterator[list[str]]:
+    """A column's texts, null as empty, a few at a time, as Python's copies need room."""
+    for start in range(0, len(texts), n):
+        yield [t or "" for t in texts.slice(start, n).to_pylist()]
 
 
 def trained_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
@@ -183,8 +186,7 @@ def trained_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = [x[:SAMPLE_BYTES] for some in _some(texts) for x in _encoder(tokenizer_path).encode(some)]
+            ids = [x[:SAMPLE_BYTES] for some in _some(batch.column("text")) for x in _encoder(tokenizer_path).encode(some)]
             yield pa.RecordBatch.from_pydict({"ids": pa.array(ids, pa.binary())})
 
     samples = docs.where(chosen).select("text").mapInArrow(serialized, "ids binary").toArrow()["ids"].to_pylist()
@@ -241,8 +243,8 @@ def write_token_ids(
             id_type = batch.schema.field("doc_id").type
             ids = batch.column("doc_id").to_pylist()
             at = 0
-            for texts in _some(batch.column("text").to_pylist()):
-                for found in encoder.encode([t or "" for t in texts]):
+            for texts in _some(batch.column("text")):
+                for found in encoder.encode(texts):
                     if width != encoder.width:
                         found = np.frombuffer(found, dtype=encoder.kind).astype(f"<u{width}").tobytes()
                     frame = compressor.compress(found + end)

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +49,26 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+_KEPT: list[dict] = []
+
+
+def kept_between_tasks(table: dict) -> dict:
+    """Register a table that an operator keeps in a Python worker for its later tasks."""
+    _KEPT.append(table)
+    return table
+
+
+def make_room() -> None:
+    """Drop what other operators keep in this Python worker, and hand back Arrow's unused memory.
+
+    Workers are used again by later stages; what an earlier one kept would count
+    against these for as long as the worker lives.
+    """
+    for table in _KEPT:
+        table.clear()
+    pa.default_memory_pool().release_unused()
+
+
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new folder in the storage that the driver and all executors share."""
     ensure_checkpoint_dir(spark)
@@ -143,8 +164,6 @@ def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
 
 def utf8_rows(column) -> list[np.ndarray]:
     """The bytes of each text of an Arrow string column, not copied; a null text has none."""
-    import pyarrow as pa
-
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, offsets, data = column.buffers()
     at = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + len(column) + 1]

@@ -2,11 +2,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from material import awkward, documents, prose
 from tokenizers import Tokenizer
 
-from docledger.llm import tokenids
+from docledger.llm import jaccard, langid, tokenids
 from docledger.llm.words import scratch_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -82,3 +83,23 @@ def test_wrong_dictionary_is_refused(spark):
 def test_empty(spark):
     folder = tokenids.write_token_ids(documents(spark, []).limit(0), scratch_folder(spark, "ids"), PATH)
     assert tokenids.read_token_ids(spark, folder).collect() == []
+
+
+def test_other_operators_free_the_pieces_a_worker_keeps():
+    """Tables of the tokenizer would else count against every later stage that its worker serves."""
+    text = pa.array(["one two", None])
+    for other in (
+        lambda: list(jaccard._measured(4, 8)(iter([]))),
+        lambda: list(jaccard._sets(4)(iter([]))),
+        lambda: list(langid._accepts(langid.train([]))(iter([text]))),
+        lambda: list(langid._counted(iter([]))),
+    ):
+        tokenids._encoder(public_tokenizers.path("byte_bpe_50k.json")).encode(["one two three"])
+        assert tokenids._ENCODERS
+        other()
+        assert not tokenids._ENCODERS
+
+
+def test_texts_become_python_strings_a_few_at_a_time():
+    some = list(tokenids._some(pa.array(["a", None, "c", "d"])[1:], 2))
+    assert some == [["", "c"], ["d"]]

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -71,6 +72,28 @@ def test_pieces_are_kept_in_bounded_tables(monkeypatch):
     assert len(encoder.known) + len(encoder.older) < 120
 
 
+def test_pieces_met_once_stay_out_of_a_table_that_was_full(monkeypatch):
+    monkeypatch.setattr(tokenids, "KNOWN_PIECES", 20)
+    encoder = tokenids.PieceEncoder(PATH)
+    encoder.encode([prose(1, 60)])
+    encoder.encode([" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}x" for i in range(300)) + " again again, again."])
+    assert len(encoder.known) < 20
+    encoder.encode(["say again, and again."])
+    assert " again" in encoder.known
+    assert not any(piece[-1] in ".," for piece in encoder.known if len(piece) > 1)
+
+
+def test_letters_go_to_the_model_as_the_tokenizer_splits_them():
+    tokenizer = Tokenizer.from_file(PATH)
+    encoder = tokenids.PieceEncoder(PATH)
+    assert encoder.bare is not None
+    signs = [*"abZéßÿŉǆɏɐʰµªº日иה²½Ⅷ1,.'!-", "'s", " ", " ", " ", "\n", "\u0301", "\0", "<|endoftext|>"]
+    pick = random.Random(4)
+    texts = ["".join(pick.choice(signs) for _ in range(pick.randint(0, 40))) for _ in range(3000)]
+    got = [np.frombuffer(x, dtype="<u2").tolist() for i in range(0, 3000, 250) for x in encoder.encode(texts[i : i + 250])]
+    assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_wrong_dictionary_is_refused(spark):
     one = tokenids.write_token_ids(documents(spark, [(1, "a b")]), scratch_folder(spark, "ids"), PATH)
     other = tokenids.write_token_ids(documents(spark, [(i, prose(i, 25)) for i in range(900)]), scratch_folder(spark, "ids"), PATH)

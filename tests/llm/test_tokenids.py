@@ -83,6 +83,21 @@ def test_pieces_met_once_stay_out_of_a_table_that_was_full(monkeypatch):
     assert not any(piece[-1] in ".,#!)" and piece[-2:-1].isalpha() for piece in encoder.known)
 
 
+def test_pieces_met_once_are_not_encoded_again(monkeypatch):
+    monkeypatch.setattr(tokenids, "KNOWN_PIECES", 20)
+    encoder = tokenids.PieceEncoder(PATH)
+    encoder.encode([prose(1, 60)])
+    long = "x" * 100
+    texts = [f"a zebrawort 77, {long} b", f"a zebrawort (zebrawort) 77. {long} b"]
+    first, learn, learned = encoder.encode(texts[:1]), encoder.learn, []
+    monkeypatch.setattr(encoder, "learn", lambda pieces: learned.extend(map(str, pieces)) or learn(pieces))
+    got = [np.frombuffer(x, dtype="<u2").tolist() for x in first + encoder.encode(texts[1:])]
+    assert got == [ids[:-1] for _, ids, _ in expected(enumerate(texts))]
+    assert " zebrawort" not in learned and " 77" not in learned
+    assert " (zebrawort" in learned and f" {long}" in learned  # long pieces are not kept
+    assert " zebrawort" in encoder.known and not any(len(piece) > tokenids.PIECE_BYTES for piece in encoder.known)
+
+
 def test_letters_go_to_the_model_as_the_tokenizer_splits_them():
     tokenizer = Tokenizer.from_file(PATH)
     encoder = tokenids.PieceEncoder(PATH)

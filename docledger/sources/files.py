@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from docledger.functions import named, null_if_na
 from docledger.sources import excel
 from docledger.sources.catalog import conform, rename_columns
-from docledger.sources.records import first_records, header_cells, lines_of, quote_use, records_of
+from docledger.sources.records import first_records, header_cells, line_use, lines_of, records_of
 
 ROW_ORDER = "_row_ord"
 _QUOTING = {"quote": '"', "escape": '"'}
@@ -59,21 +59,26 @@ def read_strings(
 
     Every file's header is checked against ``headers`` as it is scanned, and a
     row with more or fewer cells fails the read. Quoted line breaks stay inside
-    their cell, and a large file is read by ranges all the same: files without
-    quotes, as one scan tells, by Spark's own reader, others by their records.
+    their cell, and a large file is read by ranges all the same: files whose lines
+    are records, as one scan tells, by Spark's own reader, others by their records.
     ``multi_line=False`` is for files known to have no quoted breaks.
     """
     lines = lines_of(spark, paths)
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    if multi_line and any(quote_use(lines)):
+    if multi_line and not line_use(lines, sep)[1]:
         raw = text_cells(records_of(lines, sep, headers), headers, sep)
     else:
-        raw = spark.read.option("columnPruning", "false").csv(
-            paths, schema=schema, header=True, sep=sep, mode="FAILFAST", enforceSchema=False, **_QUOTING
-        )
+        raw = _text_of_lines(spark, paths, headers, sep)
     return raw.select(*[null_if_na(named(h)).alias(h) for h in headers])
 
 
+def _text_of_lines(spark: SparkSession, paths: str | Sequence[str], headers: Sequence[str], sep: str) -> DataFrame:
+    """The cells of files whose lines are records, as text; another header or number of cells fails."""
+    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
+    return spark.read.option("columnPruning", "false").csv(
+        paths, schema=schema, header=True, sep=sep, mode="FAILFAST", enforceSchema=False, **_QUOTING
+    )
+
+
 def text_cells(records: DataFrame, headers: Sequence[str], sep: str) -> DataFrame:
     """The cells of records as text columns; one with more or fewer cells fails."""
     places = [f"c{i}" for i in range(len(headers))]
@@ -90,9 +95,12 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", all_text: boo
     options = {"sep": sep, "mode": "FAILFAST", **_QUOTING}
     lines = lines_of(spark, path)
     reader = spark.read.option("columnPruning", "false")
-    if not any(quote_use(lines)):
+    quoted, whole = line_use(lines, sep)
+    if whole and not quoted:
         return reader.csv(path, header=True, inferSchema=not all_text, **options)
     headers = read_header(spark, path, sep)
+    if whole and all_text:
+        return _text_of_lines(spark, path, headers, sep)
     records = records_of(lines, sep, headers)
     if all_text:
         return text_cells(records, headers, sep)

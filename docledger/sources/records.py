@@ -260,12 +260,23 @@ def _joined(pieces: DataFrame) -> DataFrame:
     return joined.select(F.regexp_replace("text", r"\r\z", "").alias("text"))
 
 
-def quote_use(lines: DataFrame) -> tuple[bool, bool]:
-    """Whether any line holds a quote, and whether any holds a carriage return before its end; one scan."""
+def line_use(lines: DataFrame, sep: str) -> tuple[bool, bool]:
+    """Whether any line holds a quote, and whether every line is a whole record to a reader of lines; one scan.
+
+    It is one if its quotes are doubled or enclose whole cells. Lines with a carriage return before
+    their end, or of white space alone in a file with quotes, are no such records.
+    """
+    value, gap = F.col("value"), re.escape(sep)
+    enclosed = rf"(?<=\A|{gap})\"[^\"]*\"(?={gap}|\r?\z)"
+    single = F.regexp_replace(F.replace(value, F.lit(QUOTE * 2), F.lit("")), enclosed, "").contains(QUOTE)
     found = lines.agg(
-        F.max(F.col("value").contains(QUOTE)).alias("quoted"), F.max(F.col("value").rlike("\\r(?!\\z)")).alias("bare")
+        F.max(value.contains(QUOTE)).alias("quoted"),
+        F.max(value.contains(QUOTE) & single).alias("open"),
+        F.max((value < "!") & value.rlike(r"\A(?!\r?\z)[\x00-\x20]+\z")).alias("blank"),
+        F.max(value.contains("\r") & value.rlike(r"\r(?!\z)")).alias("bare"),
     ).first()
-    return bool(found["quoted"]), bool(found["bare"])
+    quoted = bool(found["quoted"])
+    return quoted, not (found["bare"] or found["open"] or quoted and found["blank"])
 
 
 def records_of(lines: DataFrame, sep: str, headers: Sequence[str] | None) -> DataFrame:

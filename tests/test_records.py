@@ -139,3 +139,34 @@ def test_first_records(spark, tmp_path, text, expected):
     (tmp_path / "f 1.csv").write_bytes(text.encode())
     path = str(tmp_path / "f 1.csv")
     assert rec.first_records(spark, [path])[path].replace("\r\n", "\n") == expected.replace("\r\n", "\n")
+
+
+@pytest.mark.parametrize(
+    "line, whole",
+    [
+        ('"",b', True), ('"a,b","c""d"', True), ('a""b,c', True), ('"""",""""""', True), ('"a"\r', True),
+        ('a"b,c', False), ('"a,b', False), (',""",b', False), ('"a"b,c', False), ('x"y,"z', False), ('"x,"y","z', False), ('"a\rb"', False),
+    ],
+)
+def test_lines_whose_quotes_end_with_them(spark, line, whole):
+    assert rec.line_use(spark.createDataFrame([(line,), ("a,b",)], "value string"), ",") == (True, whole)
+    assert rec.line_use(spark.createDataFrame([(line.replace(",", "|"),)], "value string"), "|")[1] == whole
+    assert not whole or not rec.Quoting(",").after(line.removesuffix("\r"), False)
+
+
+def test_blank_lines_beside_quotes_are_no_records_of_lines(spark):
+    lines = [spark.createDataFrame([(a,), (b,)], "value string") for a, b in (("a,b", " "), ('"a",b', " "), ('"a",b', ""))]
+    assert [rec.line_use(x, ",") for x in lines] == [(False, True), (True, False), (True, True)]
+
+
+def test_quoted_cells_within_lines_are_read_without_python(spark, tmp_path, small_ranges):
+    text = 'x,"y,z"\n' + "".join(f'{i},"a, ""b"" {i}"\n{i},""\n' for i in range(300))
+    (tmp_path / "a.csv").write_text(text)
+    for frame in (files.read_delimited(spark, str(tmp_path)), files.read_strings(spark, str(tmp_path), ["x", "y,z"])):
+        assert "MapInArrow" not in frame._jdf.queryExecution().toString()
+        assert frame.columns == ["x", "y,z"] and frame.rdd.getNumPartitions() > 10
+        want = [(str(i), y) for i in range(300) for y in (f'a, "b" {i}', None)]
+        assert sorted(map(tuple, frame.collect()), key=str) == sorted(want, key=str)
+    (tmp_path / "b.csv").write_text('x,"y"\n1,"a"\n')
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_strings(spark, str(tmp_path), ["x", "y,z"]).collect()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from docledger.functions import dotted_date, pad_key, rjust_key, rounded_amount, text_to_real
+from docledger.functions import composite_key, dotted_date, pad_key, rjust_key, rounded_amount, text_to_real
 from docledger.operators.reconcile import PURCHASE, SALES
 from docledger.operators.reports import error_counts
 from docledger.plans.comparison import Comparison, Override, compare_with_file, run_comparisons
@@ -121,14 +121,22 @@ def _delimited_inferred(t):
 _HEADERS = {"doc_no": "Doc. No/BOE", "gstin": "My GSTIN", "taxable": "Taxable Value", "doc_date": "Document Date"}
 
 
+def _write_customer(t, path):
+    """The customer's lines as files; all lines of a document are in one, in order.
+
+    Documents are dealt out by a hash: a range of each would take a scan of its own to find.
+    """
+    customer = t("cus").select(*_HEADERS, *TIES[:-1])
+    dealt = customer.repartition(composite_key(["doc_no", "gstin"]))
+    ordered = dealt.sortWithinPartitions("doc_no", *TIES[:-1], "taxable")
+    write_register(rename_columns(ordered, _HEADERS), path, "csv")
+
+
 @query("compare_with_file", _SALES_SQL + "select * from report")
 def _compare_with_file(t):
     """The customer side arrives as a file with its own headers and file order."""
     path = f"{t.scratch()}/customer"
-    columns = [*_HEADERS, *TIES[:-1]]
-    customer = t("cus").select(*columns)
-    ordered = customer.orderBy("doc_no", *TIES[:-1], "taxable")
-    write_register(rename_columns(ordered, _HEADERS), path, "csv")
+    _write_customer(t, path)
     mapping = {header: _SALES_NAMES[column] for column, header in _HEADERS.items()}
     register = _side(t("gen"), _SALES_NAMES)
     return compare_with_file(t.spark, register, path, SALES, Override(columns_mapping=mapping), TIES)
@@ -143,9 +151,7 @@ def _compare_with_file(t):
 def _comparisons_of_templates(t):
     """Both templates are asked for; the purchase file is missing, so only sales runs. Differences are reported."""
     root = t.scratch()
-    columns = [*_HEADERS, *TIES[:-1]]
-    ordered = t("cus").select(*columns).orderBy("doc_no", *TIES[:-1], "taxable")
-    write_register(rename_columns(ordered, _HEADERS), f"{root}/sales", "csv")
+    _write_customer(t, f"{root}/sales")
     mapping = {header: _SALES_NAMES[column] for column, header in _HEADERS.items()}
     register = _side(t("gen"), _SALES_NAMES)
     runs = {

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docledger.llm.components import components
-from docledger.llm.words import make_room, mixed, unused, utf8_rows, window_hashes, word_hashes, written
+from docledger.llm.words import mixed, unused, utf8_rows, window_hashes, with_room, word_hashes, written
 from docledger.session import checkpoint
 
 ORDERS = 2
@@ -82,8 +82,8 @@ def digests(shingles: np.ndarray) -> tuple[int, int]:
 def _measured(width: int, bits: int):
     """Per document its set's size and digests, and per task the counters in slices."""
 
+    @with_room
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make_room()
         counters = np.zeros(1 << bits, dtype=np.uint32)
         shift = np.uint64(64 - bits)
         for batch in batches:
@@ -163,8 +163,8 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(width: int, percent: int, orders: int, shared_classes, bits: int):
+    @with_room
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make_room()
         classes = shared_classes.value
         shift = np.uint64(64 - bits)
         seen: set[int] = set()
@@ -229,6 +229,7 @@ def _fitting(rows: dict[str, np.ndarray], left: np.ndarray, right: np.ndarray, p
 def _met(percent: int):
     """Rows of shingles that two nodes or more have, with the neighbours that fit."""
 
+    @with_room
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["k", "key", "node", "n", "place"]):
             again = np.concatenate(([False], _same(rows) & (rows["node"][1:] == rows["node"][:-1])))
@@ -257,6 +258,7 @@ def _met(percent: int):
 def _crossing(percent: int, most: int = 1 << 18):
     """All pairs of nodes of one shingle that fit and are in different families."""
 
+    @with_room
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _groups(batches, ["k", "key", "node", "n", "place", "part"]):
             total = len(rows["key"])
@@ -316,8 +318,8 @@ def _resolved(percent: int):
 
 
 def _sets(width: int):
+    @with_room
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        make_room()
         for batch in _parts(batches):
             rows = [shingle_set(data, width).view(np.int64) for data in utf8_rows(batch.column("text"))]
             yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(rows, pa.list_(pa.int64()))})

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docledger.llm.words import make_room
+from docledger.llm.words import with_room
 
 BUCKETS = 1 << 15
 DIMENSIONS = 16
@@ -84,8 +84,8 @@ def bucket_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return at, counts[at]
 
 
+@with_room
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    make_room()
     for batch in batches:
         found = [bucket_counts(text) for text in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_pydict(
@@ -220,8 +220,8 @@ def accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
 
 def _accepts(model: LanguageModel):
+    @with_room
     def accepts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        make_room()
         for texts in batches:
             found = (model.probabilities(text.as_py()) for text in texts)
             yield pa.array([p is not None and bool(p.max() >= model.least) for p in found], pa.bool_())

@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from docledger.llm.words import kept_between_tasks
+from docledger.llm.words import hand_back, kept_between_tasks
 
 END_ID = 2
 BLOCK_BYTES = 1 << 20
@@ -281,6 +281,7 @@ def _some(texts: pa.Array, n: int = 4_096) -> Iterator[list[str]]:
         bounds = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(some)]
         for first, last in zip(bounds[:-1], bounds[1:], strict=True):
             yield [t or "" for t in some.slice(first, last - first).to_pylist()]
+            hand_back()  # the tables of pieces were copied for these texts
 
 
 def trained_dictionary(docs: DataFrame, tokenizer_path: str) -> bytes:
@@ -321,6 +322,7 @@ def write_token_ids(
     entry = _ENTRY.format(kind=kind)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hand_back()
         encoder = _encoder(tokenizer_path)
         compressor = zstandard.ZstdCompressor(
             level=LEVEL, dict_data=zstandard.ZstdCompressionDict(dictionary) if dictionary else None

@@ -58,6 +58,11 @@ def kept_between_tasks(table: dict) -> dict:
     return table
 
 
+def hand_back() -> None:
+    """Hand back what Arrow's memory pool holds and doesn't use; it keeps several times its arrays otherwise."""
+    pa.default_memory_pool().release_unused()
+
+
 def make_room() -> None:
     """Drop what other operators keep in this Python worker, and hand back Arrow's unused memory.
 
@@ -66,7 +71,23 @@ def make_room() -> None:
     """
     for table in _KEPT:
         table.clear()
-    pa.default_memory_pool().release_unused()
+    hand_back()
+
+
+def with_room(task):
+    """The task, which makes room before its first batch and hands back unused memory behind its last one.
+
+    An idle worker's memory counts against the stages that run without it.
+    """
+
+    def run(batches):
+        make_room()
+        try:
+            yield from task(batches)
+        finally:
+            hand_back()
+
+    return run
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

@@ -8,7 +8,7 @@ import pytest
 from material import awkward, documents, prose
 from tokenizers import Tokenizer
 
-from docledger.llm import jaccard, langid, tokenids
+from docledger.llm import jaccard, langid, tokenids, words
 from docledger.llm.words import scratch_folder
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -141,3 +141,32 @@ def test_other_operators_free_the_pieces_a_worker_keeps():
 def test_texts_become_python_strings_a_few_at_a_time():
     some = list(tokenids._some(pa.array(["a", None, "c", "d"])[1:], 2))
     assert some == [["", "c"], ["d"]]
+
+
+def test_unused_memory_goes_back_between_texts_and_behind_the_last_batch(monkeypatch):
+    """Copies of the tables of pieces, and idle workers of other operators, else count against an executor."""
+    steps = []
+    for module in (tokenids, words):
+        monkeypatch.setattr(module, "hand_back", lambda: steps.append("back"))
+    monkeypatch.setattr(tokenids, "TEXT_BYTES", 8)
+    for texts in tokenids._some(pa.array(["aaaa bbbb", None, "cccc dddd"])):
+        steps.append(texts)
+    assert steps == [["aaaa bbbb"], "back", ["", "cccc dddd"], "back"]
+    text = pa.array(["one two"])
+    batch = pa.RecordBatch.from_pydict({"text": text, "node": pa.array([1]), "doc_id": pa.array([1]), "row_id": pa.array([1])})
+    nothing = pa.RecordBatch.from_pydict({c: pa.array([], pa.int64()) for c in ("k", "key", "node", "n", "place", "part")})
+    for task, given in (
+        (langid._accepts(langid.train([])), text),
+        (jaccard._sets(4), batch),
+        (jaccard._met(85), nothing),
+        (jaccard._crossing(85), nothing),
+    ):
+        steps.clear()
+        list(task(iter([given])))
+        assert steps == ["back", "back"]
+    steps.clear()
+    rows = langid._accepts(langid.train([]))(iter([text, text]))
+    next(rows)
+    assert steps == ["back"]
+    rows.close()  # a task that is not read to its end
+    assert steps == ["back", "back"]

@@ -15,14 +15,19 @@ before its sets are compared exactly, so the filters are intersected first.
    further. Two sets can only be similar enough if, after the places of the
    first shingle they share, both have enough left, and if their sizes fit.
 3. Within a shingle each node is paired with a few of its neighbours, not with
-   all. Connected neighbours are families. A family's sets, each once, come to
-   one task, which finds all its links; what it hands over is a forest. A
+   all. Neighbours under every order are connected, and what is connected is a
+   family: one common shingle makes none, however many sets have it. A family's
+   sets, each once, come to one task, which finds all its links; what it hands over is a forest. A
    family beyond ``FAMILY_NODES`` or ``FAMILY_SHINGLES`` is not gathered: its
    neighbours are compared pair by pair, and all its other pairs below.
 4. Every pair of nodes of different families that share a shingle and fit is a
    candidate under that order. Pairs that are candidates under all orders are
    compared, so no link is lost. Components of all links are the result.
 
+Pairs are compared by counts first: a set's shingles fall into buckets by their
+lowest bits, and two sets share no more than the smaller count of each bucket.
+Sets move only for pairs whose counts allow a link.
+
 Set comparison is exact on 64-bit hashes of the shingles. Nodes are 64-bit
 digests; a second digest checks them, and two sets with one digest raise.
 
@@ -61,6 +66,7 @@ FAMILY_NODES = 4_000
 FAMILY_SHINGLES = 2_000_000
 DOCUMENTS_AT_ONCE = 500
 NEIGHBOURS = (1, 2, 4)
+LEAST_BUCKETS, MOST_BUCKETS = 64, 4_096
 
 _KEYS = [np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB), np.uint64(0x8EBC6AF09C88C6E3), np.uint64(0x589965CC75374CC3)]
 _DIGEST, _CHECK = np.uint64(0x1D8E4E27C47D124F), np.uint64(0xEB44ACCAB455D165)
@@ -317,34 +323,78 @@ def _resolved(percent: int):
     return resolve
 
 
+def bucket_counts(shingles: np.ndarray) -> bytes:
+    """Shingles in each bucket, a byte each, one or two to a bucket; none where a byte can't hold them."""
+    buckets = min(max(LEAST_BUCKETS, 1 << (len(shingles) // 2).bit_length()), MOST_BUCKETS)
+    counts = np.bincount((shingles & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return counts.astype(np.uint8).tobytes() if counts.max() <= 255 else b""
+
+
+def shared_at_most(a: bytes, b: bytes) -> int:
+    """No two sets with these counts share more shingles; buckets of the longer ones are added up."""
+    x, y = sorted((np.frombuffer(a, np.uint8).astype(np.int64), np.frombuffer(b, np.uint8).astype(np.int64)), key=len)
+    return int(np.minimum(x, y.reshape(-1, len(x)).sum(axis=0)).sum())
+
+
+def _allowed(percent: int):
+    """The pairs whose counts allow a link, and those without counts."""
+
+    @with_room
+    def allow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("left").to_pylist(), batch.column("right").to_pylist(), batch.column("all").to_pylist(), strict=True)
+            keep = [not x or not y or shared_at_most(x, y) * (100 + percent) >= n * percent for x, y, n in rows]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return allow
+
+
 def _sets(width: int):
     @with_room
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _parts(batches):
-            rows = [shingle_set(data, width).view(np.int64) for data in utf8_rows(batch.column("text"))]
-            yield pa.RecordBatch.from_pydict({"node": batch.column("node"), "shingles": pa.array(rows, pa.list_(pa.int64()))})
+            sets = [shingle_set(data, width) for data in utf8_rows(batch.column("text"))]
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "node": batch.column("node"), "family": batch.column("family"),
+                    "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    "counts": pa.array([bucket_counts(s) for s in sets], pa.binary()),
+                }
+            )
 
     return make
 
 
 def _shingles_of(asked: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """node and shingles of the nodes ``asked`` for (node, row_id), one row a node.
+    """node, family, shingles and counts of the nodes ``asked`` for (node, row_id, family), a row for each row of texts.
 
     Their texts are read again. The ids are broadcast if they were counted and
     are few, else texts are shuffled.
     """
-    wanted = asked.select(F.col("row_id").alias("wanted_id"), "node")
+    wanted = asked.select(F.col("row_id").alias("wanted_id"), "node", "family")
     if asked.count() <= BROADCAST_NODES:
         wanted = F.broadcast(wanted)
     narrow = docs.select("doc_id", "text")
-    texts = narrow.join(wanted, F.xxhash64("doc_id", "text") == F.col("wanted_id")).select("node", "text")
-    return texts.mapInArrow(_sets(width), "node long, shingles array<long>")
+    texts = narrow.join(wanted, F.xxhash64("doc_id", "text") == F.col("wanted_id")).select("node", "family", "text")
+    return texts.mapInArrow(_sets(width), "node long, family long, shingles array<long>, counts binary")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough, compared exactly, pair by pair."""
+    """The pairs (a, b) whose sets are similar enough, compared exactly, pair by pair.
+
+    Counts of buckets, an eighth of a set or less, are compared first; sets are
+    joined to the pairs that remain.
+    """
     asked = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes, "node"))
-    sets = written(_shingles_of(asked, docs, width).dropDuplicates(["node"]), "jaccard-sets")
+    sets = written(_shingles_of(asked.withColumn("family", F.col("node")), docs, width).dropDuplicates(["node"]), "jaccard-sets")
+    size = F.size("shingles")
+    left = sets.select(F.col("node").alias("a"), F.col("counts").alias("left"), size.alias("left_n"))
+    right = sets.select(F.col("node").alias("b"), F.col("counts").alias("right"), size.alias("right_n"))
+    counted = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", (F.col("left_n") + F.col("right_n")).alias("all"))
+    pairs = checkpoint(counted.mapInArrow(_allowed(percent), "a long, b long"))
+    ends = checkpoint(pairs.select(F.explode(F.array("a", "b")).alias("end")).distinct())
+    ends = F.broadcast(ends) if ends.count() <= BROADCAST_NODES else ends
+    sets = sets.join(ends, F.col("node") == F.col("end"), "left_semi")
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
@@ -383,18 +433,19 @@ def jaccard_components(
         ),
         "jaccard-index",
     )
-    beside = met.select("node", F.explode(F.array_compact(F.array(*nexts))).alias("other"))
-    near = checkpoint(beside.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct())
+    every = F.expr("bit_or(shiftleft(1, cast(k as int)))")
+    under_every = F.col("under") == (1 << orders) - 1
+    beside = met.select("k", "node", F.explode(F.array_compact(F.array(*nexts))).alias("other"))
+    beside = beside.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "k")
+    near = checkpoint(beside.groupBy("a", "b").agg(every.alias("under")).where(under_every).select("a", "b"))
     family = components(near).withColumnRenamed("label", "family")
     sized = family.join(nodes, "node")
     sizes = sized.groupBy("family").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
     small = (F.col("members") <= FAMILY_NODES) & (F.col("shingles") <= FAMILY_SHINGLES)
     placed = checkpoint(sized.join(sizes.select("family", small.alias("small")), "family").select("node", "row_id", "family", "small"))
     gathered = placed.where("small")
-    found = _shingles_of(gathered.select("node", "row_id"), docs, width).dropDuplicates(["node"])
-    inside = checkpoint(
-        found.join(gathered.select("node", "family"), "node").groupBy("family").applyInArrow(_resolved(percent), "a long, b long")
-    )
+    found = _shingles_of(gathered, docs, width).drop("counts").repartition("family").dropDuplicates(["family", "node"])
+    inside = checkpoint(found.groupBy("family").applyInArrow(_resolved(percent), "a long, b long"))
     large = placed.where(~F.col("small")).select(F.col("node").alias("a"))
     apart = checkpoint(near.join(large, "a"))
     linked = inside.unionByName(_linked(apart, docs, nodes, width, percent)) if apart.limit(1).count() else inside
@@ -408,10 +459,7 @@ def jaccard_components(
     crossing = parted.repartition("k", "key").sortWithinPartitions(*sort).mapInArrow(
         _crossing(percent), "a long, b long, k tinyint"
     )
-    every = F.expr("bit_or(shiftleft(1, cast(k as int)))")
-    candidates = checkpoint(
-        crossing.groupBy("a", "b").agg(every.alias("under")).where(F.col("under") == (1 << orders) - 1).select("a", "b")
-    )
+    candidates = checkpoint(crossing.groupBy("a", "b").agg(every.alias("under")).where(under_every).select("a", "b"))
     links = linked.unionByName(_linked(candidates, docs, nodes, width, percent)) if candidates.limit(1).count() else linked
     joined = components(links)
     named = nodes.join(joined, "node", "left").select("node", "first_id", F.coalesce("label", "node").alias("label"))

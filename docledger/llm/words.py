@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docledger.session import ensure_checkpoint_dir
+from docledger.session import ensure_checkpoint_dir, shuffle_files_dropped
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -99,7 +99,8 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """The frame as a table in the shared folder, read back; cuts the lineage."""
     folder = scratch_folder(df.sparkSession, name)
-    df.write.parquet(folder)
+    with shuffle_files_dropped(df.sparkSession):
+        df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

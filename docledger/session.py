@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHUFFLE_FILES_KEY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "docledger", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,7 +53,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
+@contextmanager
+def shuffle_files_dropped(spark: SparkSession) -> Iterator[None]:
+    """Frames run within drop their shuffle files when they end.
+
+    Otherwise these stay until the driver happens to collect its garbage, and disk
+    holds the shuffles of all steps before. A frame made before keeps its own
+    setting; one that runs again shuffles again.
+    """
+    before = spark.conf.get(SHUFFLE_FILES_KEY, "false")
+    spark.conf.set(SHUFFLE_FILES_KEY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_FILES_KEY, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Materialise in shared storage, so a lost executor cannot lose or change it."""
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    with shuffle_files_dropped(df.sparkSession):
+        return df.select("*").checkpoint(eager=True)

@@ -127,3 +127,50 @@ def test_empty(spark):
     assert jaccard.one_of_each(empty).collect() == []
     blank = documents(spark, [(1, None), (2, ""), (3, " ")])
     assert {(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(blank).collect()} == {(1, 0, 1), (2, 0, 2), (3, 0, 3)}
+
+
+def test_counts_bound_what_sets_share():
+    rng = random.Random(5)
+    base = [jaccard.shingle_set(prose_bytes(rng.randrange(10**6), n), 5) for n in (6, 90, 700, 9_000)]
+    sets = base + [s[rng.randrange(len(s)) // 3 :] for s in base]
+    for a in sets:
+        for b in sets:
+            at_most = jaccard.shared_at_most(jaccard.bucket_counts(a), jaccard.bucket_counts(b))
+            shared = len(set(a.tolist()) & set(b.tolist()))
+            assert shared <= at_most <= min(len(a), len(b))
+            if not shared and min(len(a), len(b)) > 50:
+                assert at_most * 180 < (len(a) + len(b)) * 80
+    crowded = jaccard.shingle_set(prose_bytes(1, 20_000), 5) << jaccard.np.uint64(12)
+    assert jaccard.bucket_counts(crowded) == b""
+
+
+def prose_bytes(seed, n):
+    return jaccard.np.frombuffer(prose(seed, n).encode(), dtype=jaccard.np.uint8)
+
+
+def test_only_pairs_that_counts_allow_are_joined_with_sets(spark, monkeypatch):
+    base = words(prose(1, 300))
+    rows = [(1, " ".join(base)), (2, " ".join([*base[:-3], "x", "y", "z"])), *[(10 + i, prose(50 + i, 300)) for i in range(20)]]
+    docs = documents(spark, rows)
+    nodes = {i: jaccard.digests(jaccard.shingle_set(jaccard.np.frombuffer(t.encode(), jaccard.np.uint8), 5))[0] for i, t in rows}
+    known = docs.select("doc_id", jaccard.F.xxhash64("doc_id", "text").alias("row_id"))
+    known = known.join(spark.createDataFrame(list(nodes.items()), "doc_id long, node long"), "doc_id").drop("doc_id")
+    pairs = spark.createDataFrame([(nodes[a], nodes[b]) for a in nodes for b in nodes if a < b], "a long, b long")
+    seen, plain = [], jaccard.checkpoint
+    monkeypatch.setattr(jaccard, "checkpoint", lambda df: seen.append(plain(df)) or seen[-1])
+    linked = jaccard._linked(pairs, docs, known, 5, 80)
+    assert [tuple(r) for r in linked.collect()] == [(nodes[1], nodes[2])]
+    assert [f.count() for f in seen if f.columns == ["a", "b"]] == [1, 1]
+
+
+def test_a_common_passage_makes_no_family(spark, monkeypatch):
+    """Unrelated texts that share a shingle under one order only are no family, where the sketch ranks nothing."""
+    rows = [(i, prose(100 + i, 60) + " alphaed taued kappa deltaed gammaed") for i in range(40)]
+    rows += [(90, prose(7, 80)), (91, prose(7, 80) + " end")]
+    edges = []
+    monkeypatch.setattr(jaccard, "frequency_classes", lambda sketches, bits: jaccard.np.zeros(1 << bits, dtype=jaccard.np.uint8))
+    monkeypatch.setattr(jaccard, "components", lambda df: edges.append(df.count()) or components(df))
+    found = jaccard.jaccard_components(documents(spark, rows), 5, 80, bits=4)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted([(r.doc_id, r.n_shingles, r.component_id) for r in found.collect()], key=key) == sorted(brute(rows, 5, 80), key=key)
+    assert edges[0] == 1

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from docledger.operators.reconcile import Labels, only_differences
+from docledger.session import shuffle_files_dropped
 from docledger.sources.commits import beside, drop_folder, replace_folder, restore_folder
 
 
@@ -13,7 +14,8 @@ def write_register(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
     A refresh is written beside the table and takes its place when it is whole,
     so a job that fails leaves the table as it was, and a table may be refreshed
-    from itself. CSV output carries a header and doubles embedded quotes.
+    from itself. CSV output carries a header and doubles embedded quotes. Parquet
+    is compressed by zstandard; shuffle files of the write go when it ends.
     """
     if mode != "overwrite":
         _write(df, path, fmt, mode)
@@ -29,11 +31,14 @@ def write_register(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "
 
 
 def _write(df: DataFrame, path: str, fmt: str, mode: str) -> None:
-    writer = df.write.mode(mode)
-    if fmt == "csv":
-        writer.option("header", True).option("sep", ",").option("escape", '"').csv(path)
-    else:
-        writer.format(fmt).save(path)
+    with shuffle_files_dropped(df.sparkSession):
+        writer = df.write.mode(mode)
+        if fmt == "csv":
+            writer.option("header", True).option("sep", ",").option("escape", '"').csv(path)
+        elif fmt == "parquet":
+            writer.option("compression", "zstd").parquet(path)
+        else:
+            writer.format(fmt).save(path)
 
 
 def write_report(report: DataFrame, path: str, only_diff: bool = False, labels: Labels = Labels()) -> None:

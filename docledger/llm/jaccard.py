@@ -356,7 +356,7 @@ def _sets(width: int):
             sets = [shingle_set(data, width) for data in utf8_rows(batch.column("text"))]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "node": batch.column("node"), "family": batch.column("family"),
+                    **{c: batch.column(c) for c in batch.schema.names if c != "text"},
                     "shingles": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
                     "counts": pa.array([bucket_counts(s) for s in sets], pa.binary()),
                 }
